@@ -86,7 +86,7 @@ ADAPTERS: dict[str, str] = {
         SELECT DISTINCT CAST(p_size AS BIGINT) AS id, {text('p_size')} || ' X 10' AS value FROM {{part}}
         UNION ALL SELECT DISTINCT CAST(9000 AS BIGINT), '0 x 0' FROM {{part}}""",
     "t_charges": f"""
-        SELECT {LINE_ID} + 1 AS id, {text(LINE_ID)} AS external_charge_id,
+        SELECT {LINE_ID} * 1000 + l_suppkey % 1000 AS id, {text(LINE_ID)} AS external_charge_id,
                CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' AND l_linenumber < 3 THEN NULL
                     ELSE l_suppkey + 1 END AS customer_id,
                CAST(CASE l_linenumber WHEN 1 THEN 3 WHEN 2 THEN 1 WHEN 3 THEN 21 WHEN 4 THEN 13 ELSE 40 END AS BIGINT)
@@ -97,7 +97,7 @@ ADAPTERS: dict[str, str] = {
         SELECT {text(LINE_ID)} AS external_charge_id, {PRICE_CENTS} AS amount_in_cents
         FROM {{lineitem}} WHERE l_linestatus = 'O' AND l_returnflag = 'A'""",
     "t_payments": f"""
-        SELECT {LINE_ID} + 7 AS id, {text(PAY_ID)} AS external_payment_id, l_shipdate AS payment_date,
+        SELECT {LINE_ID} * 1000 + l_suppkey % 1000 AS id, {text(PAY_ID)} AS external_payment_id, l_shipdate AS payment_date,
                CAST(99 + l_linenumber AS BIGINT) AS payment_method_type_id,
                CASE WHEN l_linenumber = 7 THEN NULL ELSE l_orderkey + 1 END AS invoice_id,
                CASE WHEN l_returnflag = 'N' THEN {PRICE_CENTS} ELSE {PRICE_CENTS} * 3 END AS amount_in_cents,
@@ -404,6 +404,15 @@ def with_adapters(names: tuple[str, ...], body: str) -> str:
     )
 
 
+def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table. A file of one row group feeds one core only, so a scan of fewer
+    splits than cores is spread over them; any larger scan is left as it is."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    wide = name in ("lineitem", "orders", "events")
+    return table.repartition(cores) if wide and table.rdd.getNumPartitions() < cores else table
+
+
 @cache
 def _used(name: str) -> tuple[str, ...]:
     return tuple(t for t in BASE_TABLES if "{" + t + "}" in ADAPTERS[name])
@@ -411,7 +420,7 @@ def _used(name: str) -> tuple[str, ...]:
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The adapter as Spark reads it, with its order columns as one ``_row_ord``."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _used(name)}
+    tables = {t: base_table(spark, sf_dir, t) for t in _used(name)}
     query = re.sub(r'"([A-Z][A-Z0-9 _/()-]*)"(?=[,\s])', r"`\1`", ADAPTERS[name])
     rows = spark.sql(query, **tables)
     order = [c for c in rows.columns if _UPPER_EXPORTS.match(c)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contract.adapters import frame, with_adapters
 from leaseload.params import Params
+from leaseload.session import tune
 
 RUN_TS = datetime(2002, 3, 4, 5, 6, 7)
 AS_OF = date(1998, 6, 15)
@@ -54,6 +55,7 @@ def check(
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
             return shown(build(lambda adapter: frame(spark, sf_dir, adapter)), as_text)
 
         if name in CHECKS:

@@ -4,8 +4,8 @@ All results are ``timestamp_ntz`` or ``date``: the exports hold wall-clock times
 without a zone, and a zoned type would move them with the session zone.
 
 A cell is first brought to year-month-day order by one regular expression and
-then cast. That costs one cast per cell, where a list of formatters tried in
-turn would raise and swallow one parse error per format that does not fit.
+then cast. That costs one cast per cell that fits, where a list of formatters
+tried in turn would raise and drop one parse error per format that does not.
 """
 
 from __future__ import annotations
@@ -13,61 +13,53 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leaseload.functions.text import BLANK_DATE_WORDS, blank_to_null, squeeze
+from leaseload.functions.text import squeeze
 
 _CLOCK = r"[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
 _FRACTION = r"\.[0-9]{1,6}"
-_YEAR_FIRST = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-_MONTH_FIRST = r"([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})"
-
-# The cell shapes each parser accepts.
-PAYMENT_SHAPES = (
-    rf"^([0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}})"
-    rf"( ({_CLOCK}({_FRACTION})?|[0-9]{{1,2}}:[0-9]{{1,2}}))?$",
-    rf"^{_YEAR_FIRST}( {_CLOCK}({_FRACTION})?)?$",
-)
-BILLING_SHAPES = (
-    r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-    rf"^[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}( {_CLOCK}({_FRACTION})?)?$",
-    rf"^{_YEAR_FIRST}( {_CLOCK}({_FRACTION})?)?$",
-)
-ISO_TEXT_SHAPES = (
-    rf"^{_YEAR_FIRST}( {_CLOCK}({_FRACTION})?)?$",
-    r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
-    r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$",
-)
-FREE_SHAPES = (
-    rf"^([0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}|[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}})"
-    rf"( [0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}}({_FRACTION})?)?)?$",
-    rf"^{_YEAR_FIRST}([ T][0-9]{{1,2}}:[0-9]{{1,2}}(:[0-9]{{1,2}}({_FRACTION})?)?)?$",
-)
+_ANY_YEAR = "[0-9]{4}"
+_SINCE_1970 = "(?:19[7-9][0-9]|[2-9][0-9]{3})"
+_DAY_MONTH = "[0-9]{1,2}"
+_MONTH_FIRST = r"^([0-9]{1,2})[/-]([0-9]{1,2})[/-]([0-9]{4})"
+
+
+def _shapes(year: str, slashed: str, dashed: str, year_first: str) -> str:
+    """One pattern for m/d/y, m-d-y and y-m-d, each with the clock it may carry."""
+    return (
+        f"^(?:{_DAY_MONTH}/{_DAY_MONTH}/{year}{slashed}|{_DAY_MONTH}-{_DAY_MONTH}-{year}{dashed}"
+        f"|{year}-{_DAY_MONTH}-{_DAY_MONTH}{year_first})$"
+    )
+
+
+# The cell shapes each parser accepts, and the cells that mean no date.
+_SECONDS = f"(?: {_CLOCK}(?:{_FRACTION})?)?"
+_MINUTES = f"(?: (?:{_CLOCK}(?:{_FRACTION})?|[0-9]{{1,2}}:[0-9]{{1,2}}))?"
+_ISO_CLOCK = f"(?:[ T](?:{_CLOCK}(?:{_FRACTION})?|[0-9]{{1,2}}:[0-9]{{1,2}}))?"
+PAYMENT_SHAPES = _shapes(_SINCE_1970, _MINUTES, _MINUTES, _SECONDS)
+BILLING_SHAPES = _shapes(_ANY_YEAR, "", _SECONDS, _SECONDS)
+ISO_TEXT_SHAPES = _shapes(_SINCE_1970, "", "", _SECONDS)
+FREE_SHAPES = _shapes(_ANY_YEAR, _MINUTES, _MINUTES, _ISO_CLOCK)
+DAY_FIRST_SHAPE = f"^(?:1[3-9]|2[0-9]|3[01])[/-]{_DAY_MONTH}[/-]{_ANY_YEAR}{_MINUTES}$"
 HALF_DAY_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}(:[0-9]{2})? [AaPp][Mm]$"
 SHORT_YEAR_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"
 NO_DATE_CELLS = ("", "nan", "NaT", "None", "1/1/1900", "1900-01-01")
-FIRST_YEAR = 1970
 EPOCH_DAY = "1900-01-01"
 
 
-def _year_first(text: Column) -> Column:
-    return F.regexp_replace(text, "^" + _MONTH_FIRST, "$3-$1-$2")
-
-
-def _shaped(text: Column, shapes: tuple[str, ...]) -> Column:
-    pattern = "|".join(f"(?:{s})" for s in shapes)
-    return F.when(text.rlike(pattern), _year_first(text).try_cast("timestamp_ntz"))
+def _shaped(text: Column, shapes: str) -> Column:
+    """Cast of a cell that has one of the shapes, null for any other cell."""
+    return F.when(text.rlike(shapes), F.regexp_replace(text, _MONTH_FIRST, "$3-$1-$2").try_cast("timestamp_ntz"))
 
 
 def payment_timestamp(value: Column | str) -> Column:
     """Ordered list of payment formats; years before 1970 count as no date."""
-    parsed = _shaped(blank_to_null(value, BLANK_DATE_WORDS), PAYMENT_SHAPES)
-    return F.when(F.year(parsed) >= FIRST_YEAR, parsed)
+    return _shaped(squeeze(value), PAYMENT_SHAPES)
 
 
 def free_timestamp(value: Column | str) -> Column:
     """Free-form date: month first, day first where the month cannot be one,
     24-hour or AM/PM clock, ISO with blank or T. Anything else is null."""
-    text = blank_to_null(value, BLANK_DATE_WORDS)
-    day_first = F.regexp_replace(text, "^" + _MONTH_FIRST, "$3-$2-$1")
+    text = squeeze(value)
     half_day = F.regexp_replace(F.upper(text), r"^([^ ]+ [0-9]{1,2}:[0-9]{2}) ([AP]M)$", "$1:00 $2")
     return F.coalesce(
         _shaped(text, FREE_SHAPES),
@@ -75,7 +67,10 @@ def free_timestamp(value: Column | str) -> Column:
             text.rlike(HALF_DAY_SHAPE),
             F.try_to_timestamp(half_day, F.lit("M/d/yyyy h:m:s a")).cast("timestamp_ntz"),
         ),
-        F.when(text.rlike(FREE_SHAPES[0]), day_first.try_cast("timestamp_ntz")),
+        F.when(
+            text.rlike(DAY_FIRST_SHAPE),
+            F.regexp_replace(text, _MONTH_FIRST, "$3-$2-$1").try_cast("timestamp_ntz"),
+        ),
     )
 
 
@@ -92,22 +87,16 @@ def after_epoch(value: Column | str) -> Column:
 def billing_date(value: Column | str) -> Column:
     """Billing formats with a two-digit year (69-99 mean the 1900s)."""
     text = squeeze(value)
-    text = F.when(~text.isin(*NO_DATE_CELLS), text)
-    short = F.regexp_extract(text, r"/([0-9]{2})$", 1)
-    century = F.when(short >= "69", F.lit("19")).otherwise(F.lit("20"))
-    long_form = F.concat(
-        century, short, F.lit("-"), F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/[0-9]{2}$", "$1-$2")
-    )
-    return F.coalesce(
-        _shaped(text, BILLING_SHAPES),
-        F.when(text.rlike(SHORT_YEAR_SHAPE), long_form.try_cast("timestamp_ntz")),
-    ).cast("date")
+    fitting = F.when(~text.isin(*NO_DATE_CELLS), text)
+    short = F.regexp_extract(text, SHORT_YEAR_SHAPE, 0)
+    long_form = F.regexp_replace(short, "/(69|[7-9][0-9])$", "/19$1")
+    long_form = F.regexp_replace(long_form, "/([0-9]{2})$", "/20$1")
+    return F.coalesce(_shaped(fitting, BILLING_SHAPES), _shaped(long_form, BILLING_SHAPES)).cast("date")
 
 
 def iso_text(value: Column | str) -> Column:
     """Date as yyyy-MM-dd text, null before 1970."""
-    parsed = _shaped(blank_to_null(value, BLANK_DATE_WORDS), ISO_TEXT_SHAPES)
-    return F.when(F.year(parsed) >= FIRST_YEAR, F.date_format(parsed, "yyyy-MM-dd"))
+    return F.date_format(_shaped(squeeze(value), ISO_TEXT_SHAPES), "yyyy-MM-dd")
 
 
 def not_before(value: Column, floor: Column) -> Column:

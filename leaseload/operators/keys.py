@@ -28,10 +28,11 @@ def last_wins(df: DataFrame, key: list[str], values: list[str], order: Column) -
 
     An aggregate, so map-side combine cuts a hot key to one row per task.
     """
-    winner = F.max_by(F.struct(*values), order).alias("_winner")
-    return (
-        df.dropna(subset=key).groupBy(*key).agg(winner).select(*key, *[F.col(f"_winner.{v}").alias(v) for v in values])
-    )
+    groups = df.dropna(subset=key).groupBy(*key)
+    if len(values) == 1:
+        return groups.agg(F.max_by(values[0], order).alias(values[0]))
+    winner = groups.agg(F.max_by(F.struct(*values), order).alias("_winner"))
+    return winner.select(*key, *[F.col(f"_winner.{v}").alias(v) for v in values])
 
 
 def first_rows(

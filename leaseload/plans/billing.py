@@ -58,15 +58,22 @@ def load_billing_schedules(
 ) -> Outcome:
     """Schedules of running tenancies with a supported frequency and an open lease."""
     require(tenancies, BILLING_COLUMNS)
-    rows = running(tenancies).withColumns({"_tenant": id_text("TENANTID"), "_unit": squeeze("SUNITNAME")})
+    rows = running(tenancies).withColumns(
+        {
+            "_tenant": id_text("TENANTID"),
+            "_unit": squeeze("SUNITNAME"),
+            "_frequency": billing_frequency("BILLINGFREQID"),
+            "_lease": billing_date("DLEASE"),
+        }
+    )
     rows = attach(rows, customers_by_text(customers), [("_tenant", "tenant_key")])
     by_unit = units_by_name(units).join(rent_roll_days(rent_roll), "unit_name", "left")
     rows = attach(rows, by_unit, [("_unit", "unit_name")])
     rows = attach(rows, open_leases(leases), [("customer_id", "customer_id"), ("unit_id", "unit_id")])
 
-    frequency = billing_frequency("BILLINGFREQID")
-    lease = billing_date("DLEASE")
-    day = billing_day(F.col("roll_day"), optional(rows, "IPROCESSDAYOFMONTH"), lease)
+    frequency, lease = F.col("_frequency"), F.col("_lease")
+    rows = rows.withColumn("_day", billing_day(F.col("roll_day"), optional(rows, "IPROCESSDAYOFMONTH"), lease))
+    day = F.col("_day")
     before = [
         Rule("unknown_frequency", frequency.isNull(), "BILLINGFREQID", F.col("BILLINGFREQID")),
         Rule("unsupported_frequency", ~supported_frequency(frequency), "BILLINGFREQID", F.col("BILLINGFREQID")),

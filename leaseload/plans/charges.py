@@ -67,13 +67,17 @@ def load_charges(
     """Posted charges with a known type and customer; the unit may stay open."""
     require(charges, CHARGE_COLUMNS)
     rows = drop_blank_key(charges, "CHARGEID").withColumns(
-        {"_ledger": whole_number("LEDGERID"), "_desc": whole_number("CHARGEDESCID")}
+        {
+            "_ledger": whole_number("LEDGERID"),
+            "_desc": whole_number("CHARGEDESCID"),
+            "_created": free_timestamp(optional(charges, "DCREATED")),
+        }
     )
     rows = attach(rows, charge_type_lookup(charge_types), [("_desc", "desc_id")])
     rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
 
     deleted = optional(rows, "DDELETED")
-    created = free_timestamp(optional(rows, "DCREATED"))
+    created = F.col("_created")
     memo = squeeze(optional(rows, "SCHGDESC"))
     before = [
         Rule("deleted", ~is_empty(deleted), "DDELETED", deleted),
@@ -109,13 +113,20 @@ def load_credits(
     already uses counts as stored; ``key_collisions`` tells how many there are.
     """
     require(credits, CREDIT_COLUMNS)
-    rows = credits.withColumns({"_ledger": whole_number("LEDGERID"), "charge_type_id": credit_charge_type("SMEMO")})
+    rows = credits.withColumns(
+        {
+            "_ledger": whole_number("LEDGERID"),
+            "charge_type_id": credit_charge_type("SMEMO"),
+            "_effective": F.coalesce(after_epoch("DCREDIT"), params.now),
+            "_created": after_epoch(optional(credits, "DCREATED")),
+        }
+    )
     rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
 
     posting = F.coalesce(folded(optional(rows, "BNONPOSTING")), F.lit("")) != "true"
     deleted = optional(rows, "DDELETED")
-    effective = F.coalesce(after_epoch("DCREDIT"), params.now)
-    created = F.coalesce(after_epoch(optional(rows, "DCREATED")), effective)
+    effective = F.col("_effective")
+    created = F.coalesce("_created", effective)
     before = [
         Rule("amount_not_positive", ~F.coalesce(number("DCCREDITAMT") > 0, F.lit(False)), "DCCREDITAMT", F.col("DCCREDITAMT")),
         Rule("non_posting", ~posting, "BNONPOSTING", optional(rows, "BNONPOSTING")),

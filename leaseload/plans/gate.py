@@ -23,11 +23,12 @@ COMMAND_LENGTH, PERSON_LENGTH = 32, 100
 def load_gate_log(events: DataFrame, params: Params) -> Outcome:
     """Gate events with a readable time. No key, no join, no shuffle."""
     require(events, GATE_COLUMNS)
-    at = free_timestamp("OCCURRED")
+    rows = events.withColumn("_at", free_timestamp("OCCURRED"))
+    at = F.col("_at")
     derived = {
         "facility_id": params.location,
         "triggered_by": cut(
-            last_comma_first(optional(events, "ACCESSORLASTNAME"), optional(events, "ACCESSORFIRSTNAME")),
+            last_comma_first(optional(rows, "ACCESSORLASTNAME"), optional(rows, "ACCESSORFIRSTNAME")),
             PERSON_LENGTH,
         ),
         "pdk_device_id": nothing("bigint"),
@@ -38,4 +39,4 @@ def load_gate_log(events: DataFrame, params: Params) -> Outcome:
         "created_at": at,
     }
     before = [Rule("no_time", at.isNull(), "OCCURRED", F.col("OCCURRED"))]
-    return Outcome(rows=classified(events, F.col("OCCURRED"), derived, before), columns=GATE_TABLE)
+    return Outcome(rows=classified(rows, F.col("OCCURRED"), derived, before), columns=GATE_TABLE)

@@ -46,7 +46,14 @@ def load_payments(
 ) -> Outcome:
     """Payments of known customers that are neither zero, void, credits nor stored."""
     require(payments, PAYMENT_COLUMNS)
-    rows = payments.withColumns({"_ledger": whole_number("LEDGERID"), "_payment": id_text("PAYMENTID")})
+    rows = payments.withColumns(
+        {
+            "_ledger": whole_number("LEDGERID"),
+            "_payment": id_text("PAYMENTID"),
+            "_paid_at": payment_timestamp("DPMT"),
+            "_created_at": payment_timestamp("DCREATED"),
+        }
+    )
     rows = attach(rows, ledger_customers(tenants, customers), [("_ledger", "ledger_id")])
     taken = Known(stored, (("external_id", "external_id"),))
     credited = () if credits is None else (
@@ -54,7 +61,7 @@ def load_payments(
     )
 
     deleted, nsf = optional(rows, "DDELETED"), optional(rows, "BNSF")
-    paid_at, created_at = payment_timestamp("DPMT"), payment_timestamp("DCREATED")
+    paid_at, created_at = F.col("_paid_at"), F.col("_created_at")
     method, method_error = payment_method_id("PMTTYPEID")
     amount = floored_cents("DCPMTAMT")
     before = [
@@ -72,7 +79,7 @@ def load_payments(
     derived = {
         "external_id": F.col("_payment"),
         "external_payment_id": F.col("_payment"),
-        "receipt_number": payment_receipt_number("PAYMENTID"),
+        "receipt_number": payment_receipt_number("_payment"),
         "customer_id": F.col("customer_id"),
         "location_id": params.location,
         "organization_id": params.organization,

@@ -46,13 +46,19 @@ def load_receipts(
 ) -> Outcome:
     """Receipts of stored payments and known customers."""
     require(receipts, RECEIPT_COLUMNS)
-    rows = receipts.withColumns({"_payment": whole_number("PAYMENTID"), "_tenant": whole_number("TENANTID")})
+    rows = receipts.withColumns(
+        {
+            "_payment": whole_number("PAYMENTID"),
+            "_tenant": whole_number("TENANTID"),
+            "_received": F.coalesce(free_timestamp("DRCPT"), params.now),
+        }
+    )
     rows = rows.withColumn("_payment_key", F.col("_payment").cast("string"))
     rows = attach(rows, payment_lookup(payments, methods), [("_payment_key", "external_payment_id")])
     rows = attach(rows, customers_by_number(customers), [("_tenant", "tenant_id")])
 
     key = receipt_number("IRECEIPTNUM", F.col("_payment"))
-    stamped = F.coalesce(free_timestamp("DRCPT"), params.now)
+    stamped = F.col("_received")
     before = [
         Rule("bad_ids", F.col("_payment").isNull() | F.col("_tenant").isNull(), "PAYMENTID", F.col("PAYMENTID"), "error"),
         Rule("zero_amount", F.coalesce(number("DCAMT"), F.lit(0.0)) == 0, "DCAMT", F.col("DCAMT")),

@@ -49,8 +49,16 @@ def moved_out(tenancies: DataFrame) -> DataFrame:
     return tenancies.filter(F.col("DMOVEDOUT").isNotNull() & (folded("DMOVEDOUT") != "nat"))
 
 
-def _resolved(tenancies: DataFrame, tenant: Column, unit: Column, customers: DataFrame, units: DataFrame) -> DataFrame:
-    rows = tenancies.withColumns({"_tenant": tenant, "_unit": squeeze(unit)})
+_DATE_KEYS = ("DMOVEDIN", "DLEASE", "DPAIDTHRU", "DMOVEDOUT", "DSCHEDOUT")
+
+
+def _resolved(
+    tenancies: DataFrame, tenant: Column, cell: Binding, customers: DataFrame, units: DataFrame
+) -> DataFrame:
+    """Rows with customer and unit found and every date cell parsed once."""
+    rows = tenancies.withColumns(
+        {"_tenant": tenant, "_unit": squeeze(cell["SUNITNAME"]), **{f"_{k}": free_date(cell[k]) for k in _DATE_KEYS}}
+    )
     rows = attach(rows, customers_by_text(customers), [("_tenant", "tenant_key")])
     return attach(rows, units_by_name(units), [("_unit", "unit_name")])
 
@@ -63,7 +71,7 @@ def _owner_rules() -> list[Rule]:
 
 
 def _date_rule(reason: str, cell: Binding, name: str) -> Rule:
-    return Rule(reason, free_date(cell[name]).isNull(), name, cell[name])
+    return Rule(reason, F.col(f"_{name}").isNull(), name, cell[name])
 
 
 def _rent_rule(cell: Binding) -> Rule:
@@ -71,19 +79,19 @@ def _rent_rule(cell: Binding) -> Rule:
 
 
 def _lease(cell: Binding, employee: Column, status: str, params: Params) -> dict[str, Column]:
-    moved_in = free_date(cell["DMOVEDIN"])
+    moved_in = F.col("_DMOVEDIN")
     rent = cents(cell["DCRENT"])
     premium = cents(cell["DCINSURPREMIUM"])
-    scheduled = F.coalesce(free_date(cell["DSCHEDOUT"]), moved_in)
+    scheduled = F.coalesce(F.col("_DSCHEDOUT"), moved_in)
     values = {
         "customer_id": F.col("customer_id"),
         "unit_id": F.col("unit_id"),
         "facility_id": params.location,
         "move_in_date": moved_in,
-        "lease_date": F.coalesce(free_date(cell["DLEASE"]), moved_in),
-        "paid_through_date": free_date(cell["DPAIDTHRU"]),
+        "lease_date": F.coalesce(F.col("_DLEASE"), moved_in),
+        "paid_through_date": F.col("_DPAIDTHRU"),
         "schedule_date": scheduled if status == ACTIVE else not_before(scheduled, moved_in),
-        "move_out_date": free_date(cell["DMOVEDOUT"]),
+        "move_out_date": F.col("_DMOVEDOUT"),
         "rental_rate_in_cents": rent,
         "schedule_rate_in_cents": zero_takes(cents(cell["DCSCHEDRENT"]), rent),
         "rate_variance_in_cents": long(0),
@@ -106,14 +114,14 @@ def _lease(cell: Binding, employee: Column, status: str, params: Params) -> dict
 def _link(
     cell: Binding, move_out: Column, rent: Column, scheduled: Column, code: Column, max_day: int | None, params: Params
 ) -> dict[str, Column]:
-    moved_in = free_date(cell["DMOVEDIN"])
+    moved_in = F.col("_DMOVEDIN")
     values = {
         "customer_id": F.col("customer_id"),
         "unit_id": F.col("unit_id"),
-        "lease_date": F.coalesce(free_date(cell["DLEASE"]), moved_in),
+        "lease_date": F.coalesce(F.col("_DLEASE"), moved_in),
         "move_out_date": move_out,
-        "paid_through_date": free_date(cell["DPAIDTHRU"]),
-        "scheduled_date": free_date(cell["DSCHEDOUT"]),
+        "paid_through_date": F.col("_DPAIDTHRU"),
+        "scheduled_date": F.col("_DSCHEDOUT"),
         "rental_rate": rent,
         "rate_variance": F.lit(0).cast(RATE_TYPE),
         "scheduled_rate": zero_takes(scheduled, rent),
@@ -130,10 +138,10 @@ def load_links(
 ) -> Outcome:
     """Active customer-unit links, one per customer and unit."""
     cell = bind(tenancies, LINK_KEYS)
-    rows = _resolved(tenancies, squeeze(cell["TENANTID"]), cell["SUNITNAME"], customers, units)
+    rows = _resolved(tenancies, squeeze(cell["TENANTID"]), cell, customers, units)
     rules = [*_owner_rules(), _date_rule("no_move_in", cell, "DMOVEDIN"), _rent_rule(cell)]
     derived = _link(
-        cell, free_date(cell["DMOVEDOUT"]), dollars(cell["DCRENT"]), dollars(cell["DCSCHEDRENT"]),
+        cell, F.col("_DMOVEDOUT"), dollars(cell["DCRENT"]), dollars(cell["DCSCHEDRENT"]),
         access_code(cell["SACCESSCODE"]), None, params,
     )
     return Outcome(
@@ -153,7 +161,7 @@ def load_history_links(
     require(tenancies, LINK_KEYS)
     ended = moved_out(tenancies)
     cell = bind(ended, LINK_KEYS, match="exact")
-    rows = _resolved(ended, id_before_point(cell["TENANTID"]), cell["SUNITNAME"], customers, units)
+    rows = _resolved(ended, id_before_point(cell["TENANTID"]), cell, customers, units)
     rules = [
         *_owner_rules(),
         _date_rule("no_move_in", cell, "DMOVEDIN"),
@@ -161,7 +169,7 @@ def load_history_links(
         _rent_rule(cell),
     ]
     derived = _link(
-        cell, free_date(cell["DMOVEDOUT"]), dollars(cell["DCRENT"], marks=False),
+        cell, F.col("_DMOVEDOUT"), dollars(cell["DCRENT"], marks=False),
         dollars(cell["DCSCHEDRENT"], marks=False), cut(trimmed_or_null(cell["SACCESSCODE"]), 10), 28, params,
     )
     key = (*PAIR, "lease_date")
@@ -184,7 +192,7 @@ def load_leases(
     is why the unit alone is the conflict key.
     """
     cell = bind(tenancies, LEASE_KEYS)
-    rows = _resolved(tenancies, squeeze(cell["TENANTID"]), cell["SUNITNAME"], customers, units)
+    rows = _resolved(tenancies, squeeze(cell["TENANTID"]), cell, customers, units)
     rules = [
         *_owner_rules(),
         _date_rule("no_move_in", cell, "DMOVEDIN"),
@@ -209,7 +217,7 @@ def load_history_leases(
     require(tenancies, LEASE_KEYS)
     ended = moved_out(tenancies)
     cell = bind(ended, LEASE_KEYS, match="exact")
-    rows = _resolved(ended, id_before_point(cell["TENANTID"]), cell["SUNITNAME"], customers, units)
+    rows = _resolved(ended, id_before_point(cell["TENANTID"]), cell, customers, units)
     rules = [
         *_owner_rules(),
         _date_rule("no_move_in", cell, "DMOVEDIN"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from leaseload.functions.numbers import whole_number
 from leaseload.functions.text import squeeze
-from leaseload.operators.keys import last_wins
 from leaseload.params import Params
 
 
@@ -34,19 +33,21 @@ def in_location(params: Params) -> Column:
     return F.col("location_id") == params.location_id
 
 
+def _largest_id(pairs: DataFrame, key: str, name: str) -> DataFrame:
+    """One id per key; where a key has several the largest wins."""
+    return pairs.dropna(subset=[key]).groupBy(key).agg(F.max("id").alias(name))
+
+
 def customers_by_number(customers: DataFrame) -> DataFrame:
     """Numeric external id -> customer id. Ids that are not numbers cannot match."""
-    pairs = customers.select(whole_number("external_id").alias("tenant_id"), F.col("id").alias("customer_id"))
-    return last_wins(pairs, ["tenant_id"], ["customer_id"], F.col("customer_id"))
+    return _largest_id(customers.select(whole_number("external_id").alias("tenant_id"), "id"), "tenant_id", "customer_id")
 
 
 def customers_by_text(customers: DataFrame) -> DataFrame:
     """Text external id -> customer id."""
-    pairs = customers.select(squeeze("external_id").alias("tenant_key"), F.col("id").alias("customer_id"))
-    return last_wins(pairs, ["tenant_key"], ["customer_id"], F.col("customer_id"))
+    return _largest_id(customers.select(squeeze("external_id").alias("tenant_key"), "id"), "tenant_key", "customer_id")
 
 
 def units_by_name(units: DataFrame) -> DataFrame:
     """Unit number -> unit id."""
-    pairs = units.select(squeeze("unit_number").alias("unit_name"), F.col("id").alias("unit_id"))
-    return last_wins(pairs, ["unit_name"], ["unit_id"], F.col("unit_id"))
+    return _largest_id(units.select(squeeze("unit_number").alias("unit_name"), "id"), "unit_name", "unit_id")
