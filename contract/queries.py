@@ -1,6 +1,6 @@
 """All checked queries. Importing the modules fills the registry."""
 
-from contract import money_plans  # noqa: F401
+from contract import money_plans, parts, scalar_functions, tenancy_plans  # noqa: F401
 from contract.registry import CHECKS
 
 __all__ = ["CHECKS"]
