@@ -133,10 +133,10 @@ def next_billing_date(t: Tables) -> DataFrame:
 def payment_texts(t: Tables) -> DataFrame:
     return t("x_payments").select(
         F.col("_row_ord._o1").alias("line"), F.col("_row_ord._o2").alias("supplier"),
-        records.payment_receipt_number("PAYMENTID").alias("receipt_number"),
+        records.payment_receipt_number(numbers.id_text("PAYMENTID")).alias("receipt_number"),
         records.payment_status("BNSF", "DDELETED").alias("status"),
         records.failure_reason("BNSF", "DDELETED").alias("failure_reason"),
-        records.payment_notes("LEDGERID", "RECEIPTID").alias("notes"),
+        records.payment_notes(numbers.id_text("LEDGERID"), numbers.id_text("RECEIPTID")).alias("notes"),
         enums.payment_method_id("PMTTYPEID")[0].alias("method"),
     )
 

@@ -59,8 +59,8 @@ def _without_money_marks(value: Column | str) -> Column:
     return squeeze(F.regexp_replace(squeeze(value), r"^\$+|,", ""))
 
 
-def _to_cents(amount: Column) -> Column:
-    # rint rounds a tie to the even neighbour, which round() would not.
+def rounded_cents(amount: Column) -> Column:
+    """Dollars as double to cents; rint rounds a tie to the even neighbour, round() would not."""
     return F.rint(amount * F.lit(100.0)).try_cast("bigint")
 
 
@@ -68,13 +68,13 @@ def cents(value: Column | str) -> Column:
     """Integer cents, dollar sign and commas allowed, 0 where there is no number."""
     # Marks are rare: only a cell that is no number as it stands is searched for them.
     return F.coalesce(
-        cents_or_null(value), _to_cents(_number(_without_money_marks(value))), F.lit(0).cast("bigint")
+        cents_or_null(value), rounded_cents(_number(_without_money_marks(value))), F.lit(0).cast("bigint")
     )
 
 
 def cents_or_null(value: Column | str) -> Column:
     """Integer cents without any mark removed; null where there is no number."""
-    return _to_cents(number(value))
+    return rounded_cents(number(value))
 
 
 def signed_cents(value: Column | str) -> Column:
@@ -114,4 +114,4 @@ def total_cents(columns: list[Column | str]) -> Column:
     """Sum of many nullable dollar cells in cents, never below zero."""
     zero = F.lit(0.0)
     total = reduce(lambda a, b: a + b, [F.coalesce(number(_col(c)), zero) for c in columns], zero)
-    return F.greatest(F.lit(0).cast("bigint"), F.coalesce(_to_cents(total), F.lit(0).cast("bigint")))
+    return F.greatest(F.lit(0).cast("bigint"), F.coalesce(rounded_cents(total), F.lit(0).cast("bigint")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leaseload.functions.dates import free_timestamp, iso_text, payment_timestamp
-from leaseload.functions.numbers import id_text, whole_number
+from leaseload.functions.numbers import whole_number
 from leaseload.functions.text import (
     BLANK_DATE_WORDS,
     blank_to_null,
@@ -32,20 +32,21 @@ def source_system() -> Column:
     return F.lit(SOURCE_SYSTEM)
 
 
-def payment_receipt_number(payment_id: Column | str) -> Column:
-    return F.concat(F.lit(RECEIPT_PREFIX), id_text(payment_id))
+def payment_receipt_number(payment_id: Column) -> Column:
+    return F.concat(F.lit(RECEIPT_PREFIX), payment_id)
 
 
 def receipt_number(number: Column | str, payment_id: Column) -> Column:
     return F.concat(F.lit(RECEIPT_PREFIX), trimmed_or_null(number), F.lit("-"), payment_id.cast("string"))
 
 
-def payment_notes(ledger_id: Column | str, receipt_id: Column | str) -> Column:
+def payment_notes(ledger_id: Column, receipt_id: Column) -> Column:
+    """Where a payment came from. Both ids are given as clean text."""
     return F.concat_ws(
         " ",
         F.lit(f"Imported from {SOURCE_LABEL}."),
-        F.concat(F.lit("LedgerID: "), id_text(ledger_id), F.lit(".")),
-        F.concat(F.lit("ReceiptID: "), id_text(receipt_id), F.lit(".")),
+        F.concat(F.lit("LedgerID: "), ledger_id, F.lit(".")),
+        F.concat(F.lit("ReceiptID: "), receipt_id, F.lit(".")),
     )
 
 

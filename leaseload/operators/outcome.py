@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from leaseload.operators.keys import attach, first_rows, last_wins, repeats, without_known
 from leaseload.sources.exports import ROW_ORDER, stage
 
-_VERDICT = "struct<outcome:string,reason:string,field:string,value:string>"
 REPEAT_REASON = "repeat_in_file"
 
 
@@ -31,22 +30,34 @@ class Rule:
     value: Column | None = None
     outcome: str = "skip"
 
-    def verdict(self) -> Column:
-        shown = F.lit(None) if self.value is None else self.value
-        return F.struct(
-            F.lit(self.outcome).alias("outcome"),
-            F.lit(self.reason).alias("reason"),
-            F.lit(self.column).alias("field"),
-            shown.cast("string").alias("value"),
-        )
+    @property
+    def code(self) -> str:
+        """Outcome, reason and field as one constant. Rows carry only this, and whether
+        it is null is a plain condition that Spark can split and push down."""
+        return f"{self.outcome}|{self.reason}|{self.column}"
 
 
 def first_reason(rules: list[Rule]) -> Column:
-    """Verdict of the first rule that a row breaks, null for a sound row."""
-    none = F.lit(None).cast(_VERDICT)
+    """Code of the first rule that a row breaks, null for a sound row."""
+    return _first(rules, [F.lit(r.code) for r in rules])
+
+
+def first_value(rules: list[Rule]) -> Column:
+    """The cell that broke the first broken rule."""
+    return _first(rules, [F.lit(None).cast("string") if r.value is None else r.value.cast("string") for r in rules])
+
+
+def _first(rules: list[Rule], results: list[Column]) -> Column:
     if not rules:
-        return none
-    return F.coalesce(*[F.when(r.bad, r.verdict()) for r in rules], none)
+        return F.lit(None).cast("string")
+    chain = F.when(rules[0].bad, results[0])
+    for rule, result in zip(rules[1:], results[1:], strict=True):
+        chain = chain.when(rule.bad, result)
+    return chain
+
+
+def _known_code(check: Known) -> str:
+    return Rule(check.reason, F.lit(True), check.on[-1][0]).code
 
 
 def field_errors(named: dict[str, tuple[Column, Column, Column]]) -> Column:
@@ -75,7 +86,7 @@ class Known:
 class Outcome:
     """Classified rows of one plan.
 
-    ``rows`` carries the target columns, ``_before`` and ``_after`` verdicts,
+    ``rows`` carries the target columns, ``_before`` and ``_after`` reason codes,
     ``_row_ord`` and ``_row_id``. The last entry of ``known`` is the table itself:
     a match there is a skip or, with ``on_match='update'``, an update.
     """
@@ -154,25 +165,29 @@ class Outcome:
     @property
     def rejects(self) -> DataFrame:
         """One row per source row that is not loaded: id, outcome, reason, field, value."""
-        rows, verdict = self.rows, F.col("_before")
+        rows, hits = self.rows, []
         for n, check in enumerate(self.known):
             if check is self.known[-1] and self.on_match == "update":
                 continue
             rows = _flag(rows, check, f"_hit{n}")
-            hit = F.when(F.col(f"_hit{n}"), Rule(check.reason, F.lit(True), check.on[-1][0]).verdict())
-            verdict = F.coalesce(verdict, hit)
-        judged = rows.withColumn("_verdict", F.coalesce(verdict, F.col("_after")))
+            hits.append(F.when(F.col(f"_hit{n}"), F.lit(_known_code(check))))
+        value = F.when(F.col("_before").isNotNull(), F.col("_before_value"))
+        for n in range(len(hits)):
+            value = value.when(F.col(f"_hit{n}"), F.lit(None).cast("string"))
+        judged = rows.withColumns(
+            {"_code": F.coalesce("_before", *hits, "_after"), "_value": value.otherwise(F.col("_after_value"))}
+        )
         shown = [
             F.col("_row_id").alias("row_id"),
-            *[F.col(f"_verdict.{c}").alias(c) for c in ("outcome", "reason", "field", "value")],
+            *[F.split_part("_code", F.lit("|"), F.lit(n)).alias(c) for n, c in enumerate(("outcome", "reason", "field"), 1)],
+            F.col("_value").alias("value"),
         ]
-        bad = judged.filter("_verdict IS NOT NULL").select(*shown)
+        bad = judged.filter("_code IS NOT NULL").select(*shown)
         if not self.key or self.on_match == "update":
             return bad
-        again = repeats(judged.filter("_verdict IS NULL"), list(self.key), self.order)
-        return bad.unionByName(
-            again.withColumn("_verdict", Rule(REPEAT_REASON, F.lit(True), self.key[-1]).verdict()).select(*shown)
-        )
+        again = repeats(judged.filter("_code IS NULL"), list(self.key), self.order)
+        code = Rule(REPEAT_REASON, F.lit(True), self.key[-1]).code
+        return bad.unionByName(again.withColumn("_code", F.lit(code)).select(*shown))
 
     @property
     def field_errors(self) -> DataFrame:
@@ -187,34 +202,20 @@ class Outcome:
         row per key. ``insert`` counts rows really added.
         """
         key = list(self.key)
-        before, after = F.col("_before"), F.col("_after")
-        open_key = [F.when(before.isNull(), F.col(k)).alias(k) for k in key]
-        grouped = (
-            self.rows.select(
-                before.getField("outcome").alias("b_outcome"),
-                before.getField("reason").alias("b_reason"),
-                after.getField("outcome").alias("a_outcome"),
-                after.getField("reason").alias("a_reason"),
-                *open_key,
-            )
-            .groupBy("b_outcome", "b_reason", "a_outcome", "a_reason", *key)
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        reason, outcome = F.col("b_reason"), F.col("b_outcome")
+        open_key = [F.when(F.col("_before").isNull(), F.col(k)).alias(k) for k in key]
+        grouped = self.rows.select("_before", "_after", *open_key).groupBy("_before", "_after", *key).count()
+        codes = [F.col("_before")]
         for n, check in enumerate(self.known):
             grouped = _flag(grouped, check, f"_hit{n}")
-            update = check is self.known[-1] and self.on_match == "update"
-            hit = F.col(f"_hit{n}") & F.col("b_reason").isNull()
-            if update:
-                hit = hit & F.col("a_reason").isNull()
-            reason = F.coalesce(reason, F.when(hit, F.lit("matched" if update else check.reason)))
-            outcome = F.coalesce(outcome, F.when(hit, F.lit("update" if update else "skip")))
-        reason = F.coalesce(reason, F.col("a_reason"))
-        outcome = F.coalesce(outcome, F.col("a_outcome"))
+            hit, code = F.col(f"_hit{n}"), _known_code(check)
+            if check is self.known[-1] and self.on_match == "update":
+                hit, code = hit & F.col("_after").isNull(), "update|matched|"
+            codes.append(F.when(hit, F.lit(code)))
+        code = F.coalesce(*codes, "_after", F.lit("insert|new|"))
         judged = grouped.select(
-            F.coalesce(outcome, F.lit("insert")).alias("outcome"),
-            F.coalesce(reason, F.lit("new")).alias("reason"),
-            "n",
+            F.split_part(code, F.lit("|"), F.lit(1)).alias("outcome"),
+            F.split_part(code, F.lit("|"), F.lit(2)).alias("reason"),
+            F.col("count").alias("n"),
             (reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key]) if key else F.lit(False)).alias("keyed"),
         )
         is_new = F.col("outcome") == "insert"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leaseload.functions.dates import after_epoch, free_timestamp
 from leaseload.functions.enums import credit_charge_type
-from leaseload.functions.numbers import id_text, negative_cents, number, signed_cents, whole_number
+from leaseload.functions.numbers import id_text, number, rounded_cents, signed_cents, whole_number
 from leaseload.functions.records import source_system
 from leaseload.functions.text import BLANK_CELL_WORDS, folded, is_empty, squeeze, trimmed_or_null
 from leaseload.operators.keys import attach, last_wins, only_known
@@ -117,6 +117,7 @@ def load_credits(
         {
             "_ledger": whole_number("LEDGERID"),
             "charge_type_id": credit_charge_type("SMEMO"),
+            "_amount": F.coalesce(number("DCCREDITAMT"), F.lit(0.0)),
             "_effective": F.coalesce(after_epoch("DCREDIT"), params.now),
             "_created": after_epoch(optional(credits, "DCREATED")),
         }
@@ -128,7 +129,7 @@ def load_credits(
     effective = F.col("_effective")
     created = F.coalesce("_created", effective)
     before = [
-        Rule("amount_not_positive", ~F.coalesce(number("DCCREDITAMT") > 0, F.lit(False)), "DCCREDITAMT", F.col("DCCREDITAMT")),
+        Rule("amount_not_positive", F.col("_amount") <= 0, "DCCREDITAMT", F.col("DCCREDITAMT")),
         Rule("non_posting", ~posting, "BNONPOSTING", optional(rows, "BNONPOSTING")),
         Rule("deleted", ~is_empty(deleted), "DDELETED", deleted),
         Rule("no_ledger", is_empty("LEDGERID"), "LEDGERID", F.col("LEDGERID")),
@@ -142,7 +143,7 @@ def load_credits(
         params,
         rows,
         charge_type_id=F.col("charge_type_id").cast("bigint"),
-        amount_in_cents=negative_cents("DCCREDITAMT"),
+        amount_in_cents=-F.abs(rounded_cents(F.col("_amount"))),
         effective_date=effective,
         memo=trimmed_or_null("SMEMO"),
         created_at=created,

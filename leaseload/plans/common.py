@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leaseload.functions.numbers import whole_number
 from leaseload.functions.text import squeeze
 from leaseload.operators.keys import attach, last_wins
-from leaseload.operators.outcome import Rule, first_reason
+from leaseload.operators.outcome import Rule, first_reason, first_value
 from leaseload.sources.contracts import LEDGER_COLUMNS, require
 from leaseload.sources.exports import ROW_ORDER
 from leaseload.sources.tables import customers_by_number, units_by_name
@@ -61,11 +61,13 @@ def classified(
     after: list[Rule] | None = None,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Target columns next to the verdicts, row order and row id."""
+    """Target columns next to the reason codes, row order and row id."""
     return rows.select(
         *[c.alias(name) for name, c in derived.items()],
         first_reason(before).alias("_before"),
         first_reason(after or []).alias("_after"),
+        first_value(before).alias("_before_value"),
+        first_value(after or []).alias("_after_value"),
         row_id.cast("string").alias("_row_id"),
         F.col(ROW_ORDER),
         *[c.alias(name) for name, c in (extra or {}).items()],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leaseload.functions.dates import payment_timestamp
 from leaseload.functions.enums import payment_method_id
-from leaseload.functions.numbers import floored_cents, id_text, number, whole_number
+from leaseload.functions.numbers import id_text, number, rounded_cents, whole_number
 from leaseload.functions.records import (
     failure_reason,
     payment_notes,
@@ -52,6 +52,8 @@ def load_payments(
             "_payment": id_text("PAYMENTID"),
             "_paid_at": payment_timestamp("DPMT"),
             "_created_at": payment_timestamp("DCREATED"),
+            "_amount": F.coalesce(number("DCPMTAMT"), F.lit(0.0)),
+            "_method": payment_method_id("PMTTYPEID")[0],
         }
     )
     rows = attach(rows, ledger_customers(tenants, customers), [("_ledger", "ledger_id")])
@@ -62,34 +64,32 @@ def load_payments(
 
     deleted, nsf = optional(rows, "DDELETED"), optional(rows, "BNSF")
     paid_at, created_at = F.col("_paid_at"), F.col("_created_at")
-    method, method_error = payment_method_id("PMTTYPEID")
-    amount = floored_cents("DCPMTAMT")
     before = [
         Rule("no_ledger", F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "silent"),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
-        Rule("zero_amount", F.coalesce(number("DCPMTAMT"), F.lit(0.0)) == 0, "DCPMTAMT", F.col("DCPMTAMT")),
+        Rule("zero_amount", F.col("_amount") == 0, "DCPMTAMT", F.col("DCPMTAMT")),
         Rule("deleted", ~is_empty(deleted), "DDELETED", deleted),
         Rule("no_payment_id", F.col("_payment").isNull(), "PAYMENTID", F.col("PAYMENTID"), "silent"),
     ]
     after = [
         Rule("no_date", F.coalesce(paid_at, created_at).isNull(), "DPMT", F.col("DPMT"), "error"),
-        Rule("bad_method", method_error.isNotNull(), "PMTTYPEID", F.col("PMTTYPEID"), "error"),
+        Rule("bad_method", F.col("_method").isNull(), "PMTTYPEID", F.col("PMTTYPEID"), "error"),
     ]
     stamped = F.coalesce(created_at, paid_at)
     derived = {
         "external_id": F.col("_payment"),
         "external_payment_id": F.col("_payment"),
-        "receipt_number": payment_receipt_number("_payment"),
+        "receipt_number": payment_receipt_number(F.col("_payment")),
         "customer_id": F.col("customer_id"),
         "location_id": params.location,
         "organization_id": params.organization,
-        "amount_in_cents": amount,
-        "payment_method_type_id": method,
+        "amount_in_cents": F.greatest(long(0), rounded_cents(F.col("_amount"))),
+        "payment_method_type_id": F.col("_method"),
         "status": payment_status(nsf, deleted),
         "payment_date": F.coalesce(paid_at, created_at),
         "failure_reason": failure_reason(nsf, deleted),
         "reference_number": clean_text(optional(rows, "SCHECKNUM")),
-        "notes": payment_notes("LEDGERID", optional(rows, "RECEIPTID")),
+        "notes": payment_notes(F.col("_ledger").cast("string"), id_text(optional(rows, "RECEIPTID"))),
         "created_by": params.author,
         "created_at": stamped,
         "updated_at": stamped,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaseload.functions.dates import free_timestamp
-from leaseload.functions.numbers import number, signed_cents, whole_number
+from leaseload.functions.numbers import number, rounded_cents, whole_number
 from leaseload.functions.records import receipt_number, source_system
 from leaseload.operators.keys import attach, last_wins
 from leaseload.operators.outcome import Known, Outcome, Rule
@@ -50,6 +50,7 @@ def load_receipts(
         {
             "_payment": whole_number("PAYMENTID"),
             "_tenant": whole_number("TENANTID"),
+            "_amount": F.coalesce(number("DCAMT"), F.lit(0.0)),
             "_received": F.coalesce(free_timestamp("DRCPT"), params.now),
         }
     )
@@ -61,7 +62,7 @@ def load_receipts(
     stamped = F.col("_received")
     before = [
         Rule("bad_ids", F.col("_payment").isNull() | F.col("_tenant").isNull(), "PAYMENTID", F.col("PAYMENTID"), "error"),
-        Rule("zero_amount", F.coalesce(number("DCAMT"), F.lit(0.0)) == 0, "DCAMT", F.col("DCAMT")),
+        Rule("zero_amount", F.col("_amount") == 0, "DCAMT", F.col("DCAMT")),
         Rule("no_receipt_number", key.isNull(), "IRECEIPTNUM", F.col("IRECEIPTNUM")),
     ]
     after = [
@@ -74,7 +75,7 @@ def load_receipts(
         "customer_id": F.col("customer_id"),
         "receipt_date": stamped,
         "payment_date": F.col("payment_date"),
-        "amount_in_cents": F.greatest(long(0), signed_cents("DCAMT")),
+        "amount_in_cents": F.greatest(long(0), rounded_cents(F.col("_amount"))),
         "payment_method": F.col("payment_method"),
         "transaction_id": nothing(),
         "pdf_url": nothing(),
