@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract.registry import CUSTOMERS, LEDGERS, UNITS, Tables, big, check, empty, idt, num, vc
-from leaseload.functions.numbers import number
+from leaseload.functions.numbers import number, whole_number
 from leaseload.functions.text import is_empty
 from leaseload.operators.keys import attach, first_rows, known_flag, last_wins, only_known, without_known
 from leaseload.operators.load import insert_new, new_rows
-from leaseload.operators.reconcile import backfill_created_by, preview_created_by
+from leaseload.operators.reconcile import backfill_created_by, backfill_tables, preview_tables
 from leaseload.plans.cards import with_profile_key
 from leaseload.plans.charges import charge_type_lookup
 from leaseload.plans.common import ledger_customers, ledger_tenants, unresolved_tenants
@@ -259,13 +259,43 @@ def created_by_backfill(t: Tables) -> DataFrame:
     return backfill_created_by(t("t_payments"), t("t_users")).select("id", "created_by")
 
 
-@check("created_by_preview", ("t_payments", "t_customers", "t_users"), """
-    SELECT 'payments' AS "table", CAST(count(*) AS BIGINT) AS n_rows FROM t_payments WHERE external_employee_id IN (SELECT external_id FROM t_users WHERE external_id IS NOT NULL)
-    UNION ALL SELECT 'customer', CAST(count(*) AS BIGINT) FROM t_customers WHERE external_employee_id IN (SELECT external_id FROM t_users WHERE external_id IS NOT NULL)""")
+_OWNED = {
+    "customer": "t_customers", "rental_agreements": "x_tenancy", "billing_schedules": "x_tenancy", "payments": "t_payments",
+    "ledger_charges": "x_charges", "invoices": "x_invoices",
+}
+
+
+def _employee(adapter: str) -> str:
+    return "external_employee_id" if adapter.startswith("t_") else big("EMPLOYEEID")
+
+
+def owned_tables(t: Tables) -> dict[str, DataFrame]:
+    """The six owned tables, each with its employee id."""
+    return {
+        name: t(adapter) if adapter.startswith("t_")
+        else t(adapter).select(whole_number("EMPLOYEEID").alias("external_employee_id"), F.lit(5).cast("bigint").alias("created_by"))
+        for name, adapter in _OWNED.items()
+    }
+
+
+@check("created_by_preview", (*dict.fromkeys(_OWNED.values()), "t_users"), " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", CAST(count(*) AS BIGINT) AS n_rows FROM {adapter}
+        WHERE {_employee(adapter)} IN (SELECT external_id FROM t_users WHERE external_id IS NOT NULL)""" for name, adapter in _OWNED.items()))
 def created_by_preview(t: Tables) -> DataFrame:
-    tables = {"payments": t("t_payments"), "customer": t("t_customers")}
-    parts = [preview_created_by(df, t("t_users")).withColumn("table", F.lit(name)) for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts).select("table", "n_rows")
+    return preview_tables(owned_tables(t), t("t_users"))
+
+
+@check("created_by_backfill_six_tables", (*dict.fromkeys(_OWNED.values()), "t_users"), " UNION ALL ".join(
+    f"""SELECT '{name}' AS "table", {vc(f'CASE WHEN {_employee(adapter)} IS NULL THEN 5 ELSE u.id END')} AS created_by, CAST(count(*) AS BIGINT) AS n_rows
+        FROM {adapter} p LEFT JOIN t_users u ON {_employee(adapter).replace('external_employee_id', 'p.external_employee_id')} = u.external_id GROUP BY 1, 2"""
+    for name, adapter in _OWNED.items()), as_text=("created_by",))
+def created_by_backfill_six_tables(t: Tables) -> DataFrame:
+    filled = backfill_tables(owned_tables(t), t("t_users"))
+    counts = [
+        df.groupBy("created_by").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "created_by", "n_rows")
+        for name, df in filled.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @check("customer_created_by_backfill", ("t_customers", "t_users"), f"""

@@ -56,6 +56,14 @@ def _first(rules: list[Rule], results: list[Column]) -> Column:
     return chain
 
 
+def is_sound(rules: list[Rule]) -> Column:
+    """True where no rule is broken. One condition per rule, joined by AND, so that Spark
+    can push each one to where its column comes from and turn a lookup whose miss is a
+    reject into an inner join."""
+    kept = [F.coalesce(~r.bad, F.lit(True)) for r in rules]
+    return reduce(lambda a, b: a & b, kept, F.lit(True))
+
+
 def _known_code(check: Known) -> str:
     return Rule(check.reason, F.lit(True), check.on[-1][0]).code
 
@@ -86,8 +94,8 @@ class Known:
 class Outcome:
     """Classified rows of one plan.
 
-    ``rows`` carries the target columns, ``_before`` and ``_after`` reason codes,
-    ``_row_ord`` and ``_row_id``. The last entry of ``known`` is the table itself:
+    ``rows`` carries the target columns, ``_before`` and ``_after`` reason codes, the
+    flag ``_sound``, ``_row_ord`` and ``_row_id``. The last entry of ``known`` is the table itself:
     a match there is a skip or, with ``on_match='update'``, an update.
     """
 
@@ -111,7 +119,7 @@ class Outcome:
     # -- the rows of interest ------------------------------------------------
 
     def _sound(self) -> DataFrame:
-        return self.rows.filter(F.col("_before").isNull() & F.col("_after").isNull())
+        return self.rows.filter("_sound")
 
     def _new_only(self, rows: DataFrame) -> DataFrame:
         for check in self.known:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -99,3 +100,17 @@ def preview_created_by(table: DataFrame, users: DataFrame) -> DataFrame:
     """How many rows of a table have a user for their employee id."""
     hits = only_known(table, users.dropna(subset=["external_id"]), [("external_employee_id", "external_id")])
     return hits.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def backfill_tables(tables: dict[str, DataFrame], users: DataFrame) -> dict[str, DataFrame]:
+    """Owner filled in for each of the owned tables that is given."""
+    return {name: backfill_created_by(tables[name], users) for name in OWNED_TABLES if name in tables}
+
+
+def preview_tables(tables: dict[str, DataFrame], users: DataFrame) -> DataFrame:
+    """Per owned table how many rows would get an owner."""
+    parts = [
+        preview_created_by(tables[name], users).select(F.lit(name).alias("table"), "n_rows")
+        for name in OWNED_TABLES if name in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leaseload.functions.numbers import whole_number
 from leaseload.functions.text import squeeze
 from leaseload.operators.keys import attach, last_wins
-from leaseload.operators.outcome import Rule, first_reason, first_value
+from leaseload.operators.outcome import Rule, first_reason, first_value, is_sound
 from leaseload.sources.contracts import LEDGER_COLUMNS, require
 from leaseload.sources.exports import ROW_ORDER
 from leaseload.sources.tables import customers_by_number, units_by_name
@@ -66,6 +66,7 @@ def classified(
         *[c.alias(name) for name, c in derived.items()],
         first_reason(before).alias("_before"),
         first_reason(after or []).alias("_after"),
+        is_sound([*before, *(after or [])]).alias("_sound"),
         first_value(before).alias("_before_value"),
         first_value(after or []).alias("_after_value"),
         row_id.cast("string").alias("_row_id"),
