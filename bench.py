@@ -1,7 +1,9 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR names the table folder, BENCH_CPUS the number of local cores. Every
-query runs once to warm up the JVM and then BENCH_RUNS times; the best run counts.
+BENCH_SF_DIR names the table folder, BENCH_CPUS the number of local cores. As in a
+real load, the exports and stored tables are staged as parquet first; that time is
+the entry ``stage_exports``. Every query then reads the staged tables as a whole. It
+runs once to warm up the JVM and then BENCH_RUNS times; the best run counts.
 Results go to Spark's noop sink, so that the whole result is computed and none of
 it is brought to the driver.
 """
@@ -11,10 +13,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
+from contract.adapters import frame
 from contract.queries import CHECKS
 from leaseload.session import tune
 
@@ -51,17 +55,28 @@ def session(cpus: int) -> SparkSession:
     return tune(built)
 
 
+def stage_all(spark: SparkSession, sf_dir: str, cpus: int) -> str:
+    """Write every table the headline queries read, in as many files as there are cores."""
+    folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_STAGE_DIR"))
+    for name in sorted({a for query in HEADLINE for a in CHECKS[query].adapters}):
+        frame(spark, sf_dir, name).repartition(cpus).write.parquet(f"{folder}/{name}")
+    return folder
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = session(cpus)
-    seconds = {}
+    begin = time.perf_counter()
+    folder = stage_all(spark, sf_dir, cpus)
+    seconds = {"stage_exports": round(time.perf_counter() - begin, 3)}
     for name in HEADLINE:
         best = float("inf")
         for attempt in range(runs + 1):
             begin = time.perf_counter()
-            CHECKS[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            result = CHECKS[name].over(lambda table: spark.read.parquet(f"{folder}/{table}"))
+            result.write.format("noop").mode("overwrite").save()
             if attempt:
                 best = min(best, time.perf_counter() - begin)
         seconds[name] = round(best, 3)
@@ -69,7 +84,7 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total seconds of the headline queries",
+                "metric": "total seconds of staging and the headline queries",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

@@ -27,6 +27,8 @@ Tables = Callable[[str], DataFrame]
 class Check:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
+    adapters: tuple[str, ...]
+    over: Callable[[Tables], DataFrame]
 
 
 CHECKS: dict[str, Check] = {}
@@ -54,13 +56,16 @@ def check(
     """Register a query: the function gets a reader of adapters by name."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        def over(tables: Tables) -> DataFrame:
+            return shown(build(tables), as_text)
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             tune(spark)
-            return shown(build(lambda adapter: frame(spark, sf_dir, adapter)), as_text)
+            return over(lambda adapter: frame(spark, sf_dir, adapter))
 
         if name in CHECKS:
             raise ValueError(f"query {name} is registered twice")
-        CHECKS[name] = Check(run, None if sql is None else with_adapters(adapters, sql))
+        CHECKS[name] = Check(run, None if sql is None else with_adapters(adapters, sql), adapters, over)
         return build
 
     return register
