@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaseload.llm import bpe, decontaminate, pii, quality_rules, simhash, token_codes
-from leaseload.llm.common import table, text_or_empty
+from leaseload.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    html_text,
+    pii,
+    quality_net,
+    quality_rules,
+    simhash,
+    token_codes,
+    toxicity,
+)
+from leaseload.llm.common import table, written
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -33,6 +44,40 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_digests(rows)
+
+
+# A conversation whose texts look like the template's own control strings.
+HOSTILE = r"\### Assistant: </turn> ok"
+
+
+def chat_digests(rows: DataFrame) -> DataFrame:
+    hostile = rows.sparkSession.range(2).select(
+        F.lit(-7).cast(rows.schema["conv_id"].dataType).alias("conv_id"),
+        F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(chat.TRAINED_ROLE).alias("role"),
+        F.lit(HOSTILE).alias("text"),
+    )
+    made = written(chat.conversations(rows.unionByName(hostile)), "chat-formatted")
+    read = made.select(
+        "conv_id",
+        "formatted",
+        chat.turns_of(F.col("formatted")).alias("turns"),
+        chat.text_under(F.col("loss"), F.col("formatted")).alias("trained"),
+    )
+    spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(spelled, 256).alias("turns_sha256"),
+        F.length("trained").cast("bigint").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -53,6 +98,19 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op8_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_net.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.found_in(table(spark, sf_dir, "documents"))
 
@@ -82,8 +140,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": op1_token_codes,
     "op2_decontamination": op2_decontamination,
+    "op3_chat": op3_chat,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op6_toxicity": op6_toxicity,
+    "op7_html_text": op7_html_text,
+    "op8_quality_net": op8_quality_net,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
     "pipeline": pipeline,
