@@ -25,9 +25,10 @@ from __future__ import annotations
 
 import os
 import string
+import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from unicodedata import is_normalized
 
 import numpy as np
@@ -122,11 +123,11 @@ class WordIds(dict):
     Where the tokenizer itself lower-cases and cuts off closing marks, a word is put
     together from its lower-case letters and its marks. Lower-case letters need no
     normalising and no cutting, so they go straight to the tokenizer's merge model,
-    each byte spelled as the model's vocabulary spells it. Both shortcuts are tried
+    each byte spelled as the model's vocabulary spells it. These shortcuts are tried
     on sample words first and left out for a tokenizer they do not hold for.
     """
 
-    MARKS = string.punctuation.replace("'", "")
+    MARKS = string.punctuation.replace("'", "").encode()
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -134,34 +135,43 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.older: dict[str, bytes] = {}
-        self.by_parts = all(
-            self.of_library(stem + mark) == self.of_library(stem.lower()) + self.of_library(mark)
-            for stem in ("Ab", "THE", "zebra")
-            for mark in (*self.MARKS, "...", "?!")
+        self.merges = self.tokenizer.model.tokenize
+        self.older: dict[bytes, bytes] = {}
+        library = self.of_library
+        self.lowers = all(library(w) == library(w.lower()) for w in (b"Ab", b"THE", "É-Gal".encode()))
+        self.cuts = all(
+            library(stem + mark) == library(stem) + library(mark)
+            for stem in (b"ab", "señor".encode())
+            for mark in (*(self.MARKS[i : i + 1] for i in range(len(self.MARKS))), b"...", b"?!")
         )
         samples = ("a", "word", "straße", "élève", "señor", "слово", "漢字", "übermäßig")
-        self.by_model = all(self.of_model(word) == self.of_library(word) for word in samples)
+        self.plain = self.lowers and self.cuts and all(self.of_letters(w) == library(w.encode()) for w in samples)
 
-    def of_model(self, letters: str) -> bytes:
-        spelled = letters.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SPELLING)
-        return np.array([token.id for token in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+    def of_library(self, word: bytes) -> bytes:
+        ids = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def of_library(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def of_letters(self, letters: str) -> bytes:
+        if not letters.isascii():
+            letters = letters.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SPELLING)
+        ids = [token.id for token in self.merges(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def __missing__(self, word: str) -> bytes:
+    def coded(self, word: bytes) -> bytes:
+        if self.plain:
+            stem = word.rstrip(self.MARKS)
+            letters = stem.decode("utf-8", "surrogatepass")
+            if letters.isalpha():
+                if len(stem) < len(word):
+                    return self[stem] + self[word[len(stem) :]]
+                if word.isalpha() or (letters == letters.lower() and is_normalized("NFC", letters)):
+                    return self.of_letters(letters)
+        return self.of_library(word)
+
+    def __missing__(self, word: bytes) -> bytes:
         value = self.older.get(word)
         if value is None:
-            stem = word.rstrip(self.MARKS)
-            if self.by_parts and stem.isascii() and stem.isalpha() and (len(stem) < len(word) or not stem.islower()):
-                value = self[stem.lower()] + (self[word[len(stem) :]] if len(stem) < len(word) else b"")
-            elif self.by_parts and len(stem) < len(word) and stem.isalpha():
-                value = self[stem] + self[word[len(stem) :]]
-            elif self.by_model and word.isalpha() and word == word.lower() and is_normalized("NFC", word):
-                value = self.of_model(word)
-            else:
-                value = self.of_library(word)
+            value = self.coded(word)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
@@ -169,7 +179,9 @@ class WordIds(dict):
         return value
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").split(" ")))
+        whole = (text or "").encode("utf-8", "surrogatepass")
+        # bytes.lower changes A-Z only, bytes.split cuts at ASCII white space only.
+        return b"".join(map(self.__getitem__, (whole.lower() if self.lowers else whole).split()))
 
 
 _encoders: dict[str, WordIds] = {}
@@ -238,8 +250,11 @@ def placed_segments(spark: SparkSession, folder: str) -> DataFrame:
     return read.join(F.broadcast(parts), "part").withColumn("start", F.col("before") + F.col("first"))
 
 
-def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids): every document, its ids read back from the file."""
+def _documents(spark: SparkSession, folder: str, last: pa.Field, last_of: Callable) -> DataFrame:
+    """doc_id, start, n_tokens and one more column per document, segment by segment.
+
+    ``last_of`` gets a segment's ids and where its documents begin and end in them.
+    """
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,20 +262,37 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                 ids = unpack(row["levels"])
                 lengths = np.array([d["n_ids"] for d in row["docs"]], np.int64)
                 ends = np.cumsum(lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([d["doc_id"] for d in row["docs"]], pa.int64()),
-                        pa.array(row["start"] + ends - lengths, pa.int64()),
-                        pa.array(lengths),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int32))
-                        ),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
-
+                columns = [
+                    pa.array([d["doc_id"] for d in row["docs"]], pa.int64()),
+                    pa.array(row["start"] + ends - lengths, pa.int64()),
+                    pa.array(lengths),
+                    last_of(ids, ends - lengths, ends),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", last.name])
+
+    kind = {pa.int64(): "bigint", pa.list_(pa.int32()): "array<int>"}[last.type]
     rows = placed_segments(spark, folder).select("start", "docs", "levels")
-    return rows.mapInArrow(documents, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
+    return rows.mapInArrow(documents, f"doc_id bigint, start bigint, n_tokens bigint, {last.name} {kind}")
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids): every document, its ids read back from the file."""
+
+    def listed(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids.astype(np.int32)))
+
+    return _documents(spark, folder, pa.field("ids", pa.list_(pa.int32())), listed)
+
+
+def digests(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the file."""
+
+    def crc(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
+        data = memoryview(ids.astype("<u4").tobytes())
+        sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
+        return pa.array(sums, pa.int64())
+
+    return _documents(spark, folder, pa.field("ids_crc32", pa.int64()), crc)
 
 
 def tokens_at(spark: SparkSession, folder: str, places: DataFrame, place: str = "place") -> DataFrame:
@@ -283,15 +315,3 @@ def tokens_at(spark: SparkSession, folder: str, places: DataFrame, place: str =
 
     read.__annotations__ = {"levels": pd.Series, "at": pd.Series, "return": pd.Series}
     return met.select("place", F.pandas_udf(read, "int")("levels", F.col("place") - F.col("start")).alias("token"))
-
-
-def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the file."""
-
-    def crc(rows: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(r.astype("<u4").tobytes()) for r in rows])
-
-    crc.__annotations__ = {"rows": pd.Series, "return": pd.Series}
-    return read_documents(spark, folder).select(
-        "doc_id", "start", "n_tokens", F.pandas_udf(crc, "bigint")("ids").alias("ids_crc32")
-    )
