@@ -36,7 +36,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(target)
+    # This codec works in the heap; the default one holds buffers outside it until a
+    # collection finds them, and a job over many small files piles them up.
+    df.write.option("compression", "zstd").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
