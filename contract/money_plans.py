@@ -245,13 +245,13 @@ GROUPS_SQL = f"""{PAID_SQL},
                   arg_max(charge_type_id, id) AS charge_type_id, arg_max(amount_in_cents, id) AS amount FROM t_charges GROUP BY 1),
     d AS (SELECT x.*, {idt('INVOICEID')} AS inv, {idt('CHARGEID')} AS charge_key,
                  row_number() OVER (PARTITION BY {idt('INVOICEID')} ORDER BY _o1, _o2, _o3) AS pos FROM x_invoices x),
-    m AS (SELECT d.*, NULLIF(ch.customer_id, -1) AS customer_id, ch.charge_type_id, ch.amount, paid.paid FROM d
+    m AS (SELECT d.*, ch.external_charge_id IS NOT NULL AS has_charge, NULLIF(ch.customer_id, -1) AS customer_id, ch.charge_type_id, ch.amount, paid.paid FROM d
           LEFT JOIN ch ON d.charge_key = ch.external_charge_id LEFT JOIN paid ON d.charge_key = paid.charge_key),
     g AS (SELECT inv, max(CASE WHEN pos = 1 THEN {idt('IINVOICENUM')} END) AS invoice_number,
                  max(CASE WHEN pos = 1 THEN CAST({free_at('DINVOICED')} AS DATE) END) AS issue_date,
                  max(CASE WHEN pos = 1 THEN CAST({free_at('DDUE')} AS DATE) END) AS due_date,
                  max(CASE WHEN pos = 1 THEN {big('EMPLOYEEID')} END) AS external_employee_id,
-                 min(CASE WHEN customer_id IS NOT NULL THEN pos END) AS owner_pos, count(charge_key) AS n_charges,
+                 min(CASE WHEN has_charge THEN pos END) AS owner_pos, count(charge_key) AS n_charges,
                  CAST(COALESCE(sum(amount), 0) AS BIGINT) AS total, CAST(COALESCE(sum(paid), 0) AS BIGINT) AS paid
           FROM m GROUP BY inv),
     gc AS (SELECT g.*, m.customer_id, m.charge_type_id FROM g LEFT JOIN m ON g.inv = m.inv AND g.owner_pos = m.pos)"""

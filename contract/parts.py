@@ -332,17 +332,21 @@ def active_ledgers_per_tenant(t: Tables) -> DataFrame:
 
 
 @check("former_tenants_extract", ("l_tenants", "l_units", "l_ledgers", "l_access", "l_sites"), f"""
-    SELECT t.TenantID AS tenant, s.sLocationCode AS location, u.sUnitName AS unit, t.sLName || ', ' || t.sFName AS name, a.sAccessCode AS code,
-           strftime(l.dMovedIn, '%Y-%m-%d') AS moved_in, strftime(l.dMovedOut, '%Y-%m-%d') AS moved_out, {vc('r.active')} AS active,
-           min(t.sMobile) AS mobile
-    FROM l_ledgers l JOIN l_units u ON u.UnitID = l.UnitID JOIN l_access a ON a.LedgerID = l.LedgerID
-    JOIN l_tenants t ON t.TenantID = a.TenantID JOIN l_sites s ON s.SiteID = 1
-    LEFT JOIN (SELECT a2.TenantID, CAST(sum(CASE WHEN l2.dMovedOut IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS active FROM l_access a2
-               JOIN l_ledgers l2 ON l2.LedgerID = a2.LedgerID WHERE a2.SiteID = 1 AND a2.bPrimary = 1 AND l2.dDeleted IS NULL GROUP BY 1) r
-    ON r.TenantID = t.TenantID
-    WHERE l.dDeleted IS NULL AND a.bPrimary = 1 AND l.dMovedOut IS NOT NULL AND u.bPermanent = 0 AND l.SiteID = 1
-    GROUP BY t.TenantID, s.sLocationCode, u.sUnitName, t.sLName, t.sFName, a.sAccessCode, l.dMovedIn, l.dMovedOut, r.active""",
-    as_text=("active",))
+    WITH primary_ledgers AS (
+        SELECT access.TenantID AS tenant, access.sAccessCode AS code, ledger.UnitID AS unit_id, ledger.SiteID AS site,
+               ledger.dMovedIn AS came, ledger.dMovedOut AS went, access.SiteID AS access_site
+        FROM l_access access, l_ledgers ledger
+        WHERE access.LedgerID = ledger.LedgerID AND access.bPrimary = 1 AND ledger.dDeleted IS NULL),
+    still_open AS (
+        SELECT tenant, count(*) FILTER (WHERE went IS NULL) AS n FROM primary_ledgers WHERE access_site = 1 GROUP BY tenant),
+    ended AS (
+        SELECT DISTINCT tenant, code, sUnitName AS unit, came, went FROM primary_ledgers, l_units
+        WHERE went IS NOT NULL AND site = 1 AND l_units.UnitID = unit_id AND bPermanent = 0),
+    people AS (SELECT TenantID AS tenant, sLName || ', ' || sFName AS name, min(sMobile) AS mobile FROM l_tenants GROUP BY 1, 2)
+    SELECT tenant, (SELECT sLocationCode FROM l_sites WHERE SiteID = 1) AS location, unit, name, code,
+           strftime(came, '%Y-%m-%d') AS moved_in, strftime(went, '%Y-%m-%d') AS moved_out,
+           {vc('CAST(n AS BIGINT)')} AS active, mobile
+    FROM ended JOIN people USING (tenant) LEFT JOIN still_open USING (tenant)""", as_text=("active",))
 def former_tenants_extract(t: Tables) -> DataFrame:
     rows = legacy.former_tenants_extract(
         t("l_tenants"), t("l_units"), t("l_ledgers"), t("l_access"), t("l_sites"), 1

@@ -78,12 +78,17 @@ def num(x: str) -> str:
     return f"TRY_CAST(trim({x}) AS DOUBLE)"
 
 
+def _digits(x: str) -> str:
+    return f"regexp_extract(trim({x}), '^([+-]?[0-9]+)(\\.[0-9]*)?$', 1)"
+
+
 def big(x: str) -> str:
-    return f"CAST(trunc({num(x)}) AS BIGINT)"
+    whole = f"TRY_CAST(TRY_CAST({_digits(x)} AS HUGEINT) AS BIGINT)"
+    return f"CASE WHEN {_digits(x)} <> '' THEN {whole} ELSE TRY_CAST(trunc({num(x)}) AS BIGINT) END"
 
 
 def idt(x: str) -> str:
-    return f"COALESCE(CAST({big(x)} AS VARCHAR), NULLIF(trim({x}), ''))"
+    return f"COALESCE(CAST({big(x)} AS VARCHAR), NULLIF({_digits(x)}, ''), NULLIF(trim({x}), ''))"
 
 
 def cents(x: str) -> str:

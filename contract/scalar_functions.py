@@ -28,27 +28,44 @@ def clean_text(t: Tables) -> DataFrame:
     )
 
 
+# Ids of 19 digits, which a bigint holds, and of 20, which it does not.
+LONG_ID_SQL = """(CASE WHEN _o1 % 2 = 0 THEN '12345678901' || lpad(CAST(_o1 AS VARCHAR), 8, '0')
+    ELSE '987654321098' || lpad(CAST(_o1 AS VARCHAR), 8, '0') || '.0' END)"""
+
+
 @check("ids_to_numbers", ("x_charges",), f"""
     SELECT _o1 AS line, _o2 AS supplier, {vc(big('CHARGEDESCID'))} AS desc_id, {idt('CHARGEDESCID')} AS desc_text, {idt('CHARGEID')} AS charge_text,
-           {big('LEDGERID')} AS ledger_id, split_part(trim(LEDGERID), '.', 1) AS ledger_cut FROM x_charges""", as_text=("desc_id",))
+           {big('LEDGERID')} AS ledger_id, split_part(trim(LEDGERID), '.', 1) AS ledger_cut,
+           {vc(big(LONG_ID_SQL))} AS long_id, {idt(LONG_ID_SQL)} AS long_text FROM x_charges""", as_text=("desc_id", "long_id"))
 def ids_to_numbers(t: Tables) -> DataFrame:
+    line = F.col("_row_ord._o1")
+    zeros = F.lpad(line.cast("string"), 8, "0")
+    long_id = F.when(line % 2 == 0, F.concat(F.lit("12345678901"), zeros)).otherwise(
+        F.concat(F.lit("987654321098"), zeros, F.lit(".0"))
+    )
     return t("x_charges").select(
         F.col("_row_ord._o1").alias("line"), F.col("_row_ord._o2").alias("supplier"),
         numbers.whole_number("CHARGEDESCID").alias("desc_id"), numbers.id_text("CHARGEDESCID").alias("desc_text"),
         numbers.id_text("CHARGEID").alias("charge_text"), numbers.whole_number("LEDGERID").alias("ledger_id"),
         numbers.id_before_point("LEDGERID").alias("ledger_cut"),
+        numbers.whole_number(long_id).alias("long_id"), numbers.id_text(long_id).alias("long_text"),
     )
 
 
 @check("money_to_cents", ("x_payments",), f"""
     SELECT _o1 AS line, _o2 AS supplier, {money_cents('DCPMTAMT')} AS cents, greatest(0, {money_cents('DCPMTAMT')}) AS floored,
-           {cents('DCPMTAMT')} AS signed, 0 - abs({cents('DCPMTAMT')}) AS negative, {vc(_rate('DCPMTAMT'))} AS dollars FROM x_payments""")
+           {cents('DCPMTAMT')} AS signed, 0 - abs({cents('DCPMTAMT')}) AS negative, {vc(_rate('DCPMTAMT'))} AS dollars,
+           CASE WHEN _o2 % 2 = 0 THEN NULL ELSE printf('%d.25', 1000000000 + _o1) END AS large FROM x_payments""")
 def money_to_cents(t: Tables) -> DataFrame:
+    whole = F.when(F.col("_row_ord._o2") % 2 == 0, 10_000_000_000).otherwise(1_000_000_000) + F.col("_row_ord._o1")
+    large = F.concat(whole.cast("string"), F.lit(".25"))
     return t("x_payments").select(
         F.col("_row_ord._o1").alias("line"), F.col("_row_ord._o2").alias("supplier"),
         numbers.cents("DCPMTAMT").alias("cents"), numbers.floored_cents("DCPMTAMT").alias("floored"),
         numbers.signed_cents("DCPMTAMT").alias("signed"), numbers.negative_cents("DCPMTAMT").alias("negative"),
         numbers.dollars("DCPMTAMT").alias("dollars"),
+        # Beyond the type: null, never zero.
+        numbers.dollars(large).cast("string").alias("large"),
     )
 
 

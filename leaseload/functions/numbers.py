@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from leaseload.functions.text import BLANK_CELL_WORDS, _col, blank_to_null, squeeze
 
 _NUMERIC = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WHOLE_PART = r"^[+-]?[0-9]{1,18}(\.[0-9]*)?$"
+_WHOLE_PART = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 
 RATE_TYPE = "decimal(12,2)"
 
@@ -39,16 +39,18 @@ def number(value: Column | str) -> Column:
 def whole_number(value: Column | str) -> Column:
     """Text to bigint, cutting any fraction ("779153.0" -> 779153).
 
-    Digits before the point go straight to bigint, so ids above 2^53 keep every
-    digit; only exponents and very long texts take the way over double.
+    Digits before the point go straight to bigint, so an id keeps every digit; only
+    exponents take the way over double. More digits than a bigint holds give null.
     """
     return _whole(squeeze(value))
 
 
 def id_text(value: Column | str) -> Column:
-    """An id as text without a decimal tail; ids that are not numbers stay as they are."""
+    """An id as text without a decimal tail; ids that are not numbers stay as they are,
+    and so do the digits of an id that no number type holds."""
     text = squeeze(value)
-    return F.coalesce(_whole(text).cast("string"), F.when(text != "", text))
+    digits = F.when(text.rlike(_WHOLE_PART), F.substring_index(text, ".", 1))
+    return F.coalesce(_whole(text).cast("string"), digits, F.when(text != "", text))
 
 
 def id_before_point(value: Column | str) -> Column:
@@ -91,10 +93,11 @@ def negative_cents(value: Column | str) -> Column:
 
 
 def dollars(value: Column | str, marks: bool = True) -> Column:
-    """Two-place decimal, ties to even, 0 where there is no number."""
+    """Two-place decimal, ties to even, 0 where there is no number; null where the
+    number does not fit the type, which is a reject and never a zero."""
     text = _without_money_marks(value) if marks else squeeze(value)
-    exact = F.when(text.rlike(_NUMERIC), text.try_cast("decimal(38,18)"))
-    return F.coalesce(F.bround(exact, 2).try_cast(RATE_TYPE), F.lit(0).cast(RATE_TYPE))
+    exact = F.bround(text.try_cast("decimal(38,18)"), 2).try_cast(RATE_TYPE)
+    return F.when(text.rlike(_NUMERIC), exact).otherwise(F.lit(0).cast(RATE_TYPE))
 
 
 def rate(value: Column | str) -> tuple[Column, Column]:

@@ -79,21 +79,23 @@ def link_payments(
 
 
 def user_ids(users: DataFrame) -> DataFrame:
-    """External employee id -> user id. Two users with one external id end the job,
-    as a scalar subquery that finds two rows would."""
-    counted = users.dropna(subset=["external_id"]).groupBy("external_id").agg(
+    """External employee id -> user id and how many users have it."""
+    return users.dropna(subset=["external_id"]).groupBy("external_id").agg(
         F.max("id").alias("_user"), F.count(F.lit(1)).alias("_n")
     )
-    message = F.concat(F.lit("several users with external id "), F.col("external_id").cast("string"))
-    checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("bigint")).otherwise(F.col("_user"))
-    return counted.select("external_id", checked.alias("_user"))
 
 
 def backfill_created_by(table: DataFrame, users: DataFrame) -> DataFrame:
-    """Owner from the employee id; null where no user has it; rows without one stay."""
+    """Owner from the employee id; null where no user has it; rows without one stay.
+
+    A row whose employee id belongs to several users ends the job, as a scalar subquery
+    that finds two rows would; such users that no row needs do not.
+    """
     joined = attach(table, user_ids(users), [("external_employee_id", "external_id")])
-    owner = F.when(F.col("external_employee_id").isNull(), F.col("created_by")).otherwise(F.col("_user"))
-    return joined.withColumn("created_by", owner).drop("_user")
+    message = F.concat(F.lit("several users with external id "), F.col("external_employee_id").cast("string"))
+    found = F.when(F.col("_n") > 1, F.raise_error(message).cast("bigint")).otherwise(F.col("_user"))
+    owner = F.when(F.col("external_employee_id").isNull(), F.col("created_by")).otherwise(found)
+    return joined.withColumn("created_by", owner).drop("_user", "_n")
 
 
 def preview_created_by(table: DataFrame, users: DataFrame) -> DataFrame:

@@ -55,7 +55,8 @@ def charge_values(charges: DataFrame, payments: DataFrame, params: Params) -> Da
 
 
 def invoice_groups(invoices: DataFrame, charges: DataFrame, payments: DataFrame, params: Params) -> DataFrame:
-    """One row per invoice id: head of its first detail row, sums over all of them.
+    """One row per invoice id: head of its first detail row, owner of its first stored
+    charge (also when that charge has no customer), sums over all of them.
 
     Every aggregate combines on the map side; no list per invoice is built, so an
     invoice with very many details needs no more room than one with few.
@@ -72,7 +73,6 @@ def invoice_groups(invoices: DataFrame, charges: DataFrame, payments: DataFrame,
     )
     matched = attach(details, charge_values(charges, payments, params), [("charge_key", "charge_key")])
     order = F.col(ROW_ORDER)
-    has_customer = F.col("stored") & F.col("customer_id").isNotNull()
     head = F.struct("invoice_number", "issue_date", "due_date", "external_employee_id", ROW_ORDER)
     owner = F.struct("customer_id", "charge_type_id")
     zero = long(0)
@@ -80,7 +80,7 @@ def invoice_groups(invoices: DataFrame, charges: DataFrame, payments: DataFrame,
         matched.groupBy("external_invoice_id")
         .agg(
             F.min_by(head, order).alias("_head"),
-            F.min_by(owner, F.when(has_customer, order)).alias("_owner"),
+            F.min_by(owner, F.when(F.col("stored"), order)).alias("_owner"),
             F.count("charge_key").alias("n_charges"),
             F.coalesce(F.sum("amount_in_cents"), zero).alias("total_in_cents"),
             F.coalesce(F.sum("paid_in_cents"), zero).alias("amount_paid_in_cents"),

@@ -78,6 +78,11 @@ def _rent_rule(cell: Binding) -> Rule:
     return Rule("no_rent", clean_text(cell["DCRENT"]).isNull(), "DCRENT", cell["DCRENT"])
 
 
+def _amount_rule(name: str, cell: Binding, amount: Column) -> Rule:
+    """An amount that does not fit its type stops the row; it is never stored as zero."""
+    return Rule("amount_out_of_range", amount.isNull(), name, cell[name])
+
+
 def _lease(cell: Binding, employee: Column, status: str, params: Params) -> dict[str, Column]:
     moved_in = F.col("_DMOVEDIN")
     rent = cents(cell["DCRENT"])
@@ -139,9 +144,16 @@ def load_links(
     """Active customer-unit links, one per customer and unit."""
     cell = bind(tenancies, LINK_KEYS)
     rows = _resolved(tenancies, squeeze(cell["TENANTID"]), cell, customers, units)
-    rules = [*_owner_rules(), _date_rule("no_move_in", cell, "DMOVEDIN"), _rent_rule(cell)]
+    rent, scheduled = dollars(cell["DCRENT"]), dollars(cell["DCSCHEDRENT"])
+    rules = [
+        *_owner_rules(),
+        _date_rule("no_move_in", cell, "DMOVEDIN"),
+        _rent_rule(cell),
+        _amount_rule("DCRENT", cell, rent),
+        _amount_rule("DCSCHEDRENT", cell, scheduled),
+    ]
     derived = _link(
-        cell, F.col("_DMOVEDOUT"), dollars(cell["DCRENT"]), dollars(cell["DCSCHEDRENT"]),
+        cell, F.col("_DMOVEDOUT"), rent, scheduled,
         access_code(cell["SACCESSCODE"]), None, params,
     )
     return Outcome(
@@ -162,15 +174,17 @@ def load_history_links(
     ended = moved_out(tenancies)
     cell = bind(ended, LINK_KEYS, match="exact")
     rows = _resolved(ended, id_before_point(cell["TENANTID"]), cell, customers, units)
+    rent, scheduled = dollars(cell["DCRENT"], marks=False), dollars(cell["DCSCHEDRENT"], marks=False)
     rules = [
         *_owner_rules(),
         _date_rule("no_move_in", cell, "DMOVEDIN"),
         _date_rule("no_move_out", cell, "DMOVEDOUT"),
         _rent_rule(cell),
+        _amount_rule("DCRENT", cell, rent),
+        _amount_rule("DCSCHEDRENT", cell, scheduled),
     ]
     derived = _link(
-        cell, F.col("_DMOVEDOUT"), dollars(cell["DCRENT"], marks=False),
-        dollars(cell["DCSCHEDRENT"], marks=False), cut(trimmed_or_null(cell["SACCESSCODE"]), 10), 28, params,
+        cell, F.col("_DMOVEDOUT"), rent, scheduled, cut(trimmed_or_null(cell["SACCESSCODE"]), 10), 28, params,
     )
     key = (*PAIR, "lease_date")
     return Outcome(
