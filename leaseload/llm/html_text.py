@@ -6,7 +6,8 @@ are blocks that are mostly links; long blocks with many stop words are good, lon
 with few are bad; the rest is undecided. Where a page marks its article, only blocks
 inside it can be good, and stop words decide nothing against them. Pass two gives an
 undecided block the label of its nearest decided neighbours within the same region;
-if both sides are equally near and differ, it is bad, unless the page marks an article.
+a heading takes that of the next one. If both sides are equally near and differ, it is
+bad, unless the page marks an article.
 
 Scripts, styles and markup comments are no text. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by one space. Null or
@@ -211,6 +212,8 @@ def second_pass(blocks: list[Block], first: list[bool | None], has_article: bool
     for i, label in enumerate(first):
         if label is None:
             left, right = before[i], after[i]
+            if blocks[i].heading and right:
+                left = None
             gaps = [(abs(i - j), good) for j, good in (x for x in (left, right) if x)]
             nearest = {good for gap, good in gaps if gap == min(g for g, _ in gaps)}
             label = has_article if len(nearest) != 1 else nearest.pop()

@@ -161,10 +161,13 @@ class WordIds(dict):
         if self.plain:
             stem = word.rstrip(self.MARKS)
             letters = stem.decode("utf-8", "surrogatepass")
-            if letters.isalpha():
+            if stem.isalpha() or (
+                # Letters that normalising and lower-casing leave letters.
+                letters.isalpha() and is_normalized("NFC", letters) and letters.lower().isalpha()
+            ):
                 if len(stem) < len(word):
                     return self[stem] + self[word[len(stem) :]]
-                if word.isalpha() or (letters == letters.lower() and is_normalized("NFC", letters)):
+                if stem.isalpha() or letters == letters.lower():
                     return self.of_letters(letters)
         return self.of_library(word)
 
