@@ -83,7 +83,7 @@ def responses(net: Network, rows: np.ndarray) -> np.ndarray:
 
 def half_sums(net: Network, rows: np.ndarray, there: np.ndarray) -> np.ndarray:
     """Rectified responses summed over each half chunk."""
-    sums = np.zeros((len(rows), FILTERS), np.float32)
+    sums = np.zeros((len(rows), FILTERS), net.filters.dtype)
     for begin in range(0, len(rows), BLOCK):
         part = slice(begin, begin + BLOCK)
         got = np.maximum(responses(net, rows[part]), 0)
