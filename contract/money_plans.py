@@ -124,6 +124,16 @@ def charges_rejects(t: Tables) -> DataFrame:
     return charges(t).rejects.select("row_id", "reason")
 
 
+_CHARGE_DATES = {"effective_date": "DCHGSTRT", "created_at": "DCREATED", "updated_at": "DUPDATED"}
+
+
+@check("charge_field_errors", CHARGE_ADAPTERS, " UNION ALL ".join(
+    f"""SELECT CHARGEID AS row_id, '{field}' AS field, {cell} AS value FROM x_charges
+        WHERE trim(CHARGEID) <> '' AND trim({cell}) <> '' AND {free_at(cell)} IS NULL""" for field, cell in _CHARGE_DATES.items()))
+def charge_field_errors(t: Tables) -> DataFrame:
+    return charges(t).field_errors.select("row_id", "field", "value")
+
+
 # -- credits ------------------------------------------------------------------
 
 CREDIT_ADAPTERS = ("x_credits", "x_tenants", "t_customers", "t_units", "t_charges_loaded")

@@ -95,12 +95,20 @@ def parse_payment_dates(t: Tables) -> DataFrame:
 
 @check("parse_free_dates", ("x_charges",), f"""
     SELECT _o1 AS line, _o2 AS supplier, {ts(free_at('DCHGSTRT'))} AS started, {ts(free_at('DCREATED'))} AS created,
-           {ts(free_at('DUPDATED'))} AS updated, {day(free_at('DDELETED'))} AS deleted FROM x_charges""")
+           {ts(free_at('DUPDATED'))} AS updated, {day(free_at('DDELETED'))} AS deleted,
+           strftime(DATE '1995-01-01' + CAST(_o1 % 3000 AS INTEGER), '%Y-%m-%d') ||
+               CASE _o1 % 6 WHEN 0 THEN ' 03:04:05' WHEN 1 THEN ' 23:14:15' ELSE ' 00:00:00' END AS machine
+    FROM x_charges""")
 def parse_free_dates(t: Tables) -> DataFrame:
+    line = F.col("_row_ord._o1")
+    on = F.date_add(F.lit("1995-01-01").cast("date"), (line % 3000).cast("int"))
+    shapes = ("yyyy-MM-dd' 03:04:05.1234567'", "yyyy-MM-dd'T23:14:15Z'", "yyyy/MM/dd", "yyyyMMdd", "M/d/yy", "d-MMM-yyyy")
+    machine = F.coalesce(*[F.when(line % 6 == n, F.date_format(on, shape)) for n, shape in enumerate(shapes)])
     return t("x_charges").select(
         F.col("_row_ord._o1").alias("line"), F.col("_row_ord._o2").alias("supplier"),
         dates.free_timestamp("DCHGSTRT").alias("started"), dates.free_timestamp("DCREATED").alias("created"),
         dates.free_timestamp("DUPDATED").alias("updated"), dates.free_date("DDELETED").alias("deleted"),
+        dates.free_timestamp(machine).alias("machine"),
     )
 
 

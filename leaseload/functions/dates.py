@@ -42,6 +42,14 @@ FREE_SHAPES = _shapes(_ANY_YEAR, _MINUTES, _MINUTES, _ISO_CLOCK)
 DAY_FIRST_SHAPE = f"^(?:1[3-9]|2[0-9]|3[01])[/-]{_DAY_MONTH}[/-]{_ANY_YEAR}{_MINUTES}$"
 HALF_DAY_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}(:[0-9]{2})? [AaPp][Mm]$"
 SHORT_YEAR_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"
+# Shapes that machines write: a long fraction, a zone letter, year first with slashes,
+# eight digits, a two-digit year, a month by name.
+MACHINE_SHAPES = (
+    r"^(?:[12][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]+)?Z?"
+    r"|[12][0-9]{3}/[0-9]{1,2}/[0-9]{1,2}(?: [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]+)?)?|[12][0-9]{7}"
+    r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}|[0-9]{1,2}-[A-Za-z]{3}-(?:[0-9]{4}|[0-9]{2}))$"
+)
+MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
 NO_DATE_CELLS = ("", "nan", "NaT", "None", "1/1/1900", "1900-01-01")
 EPOCH_DAY = "1900-01-01"
 
@@ -56,9 +64,36 @@ def payment_timestamp(value: Column | str) -> Column:
     return _shaped(squeeze(value), PAYMENT_SHAPES)
 
 
+def _long_year(text: Column) -> Column:
+    """A two-digit year at the end in full; 69-99 mean the 1900s."""
+    short = r"^([0-9]{1,2}[/-][0-9]{1,2}[/-])"
+    old = F.regexp_replace(text, f"{short}(69|[7-9][0-9])$", "$119$2")
+    return F.regexp_replace(old, f"{short}([0-9]{{2}})$", "$120$2")
+
+
+def _machine_timestamp(text: Column) -> Column:
+    month = F.regexp_extract(text, "^[0-9]{1,2}-([A-Za-z]{3})-", 1)
+    at = F.instr(F.lit(MONTH_NAMES), F.lower(month))
+    numbered = F.when((month != "") & (at % 3 == 1), F.replace(text, month, ((at + 2) / 3).cast("int").cast("string")))
+    dayfirst = F.regexp_replace(_long_year(numbered), _MONTH_FIRST, "$3-$2-$1")
+    plain = F.regexp_replace(F.regexp_replace(text, "Z$", ""), r"(\.[0-9]{6})[0-9]+$", "$1")
+    plain = F.regexp_replace(plain, "^([0-9]{4})/([0-9]{1,2})/", "$1-$2-")
+    plain = F.regexp_replace(plain, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    plain = F.regexp_replace(_long_year(plain), _MONTH_FIRST, "$3-$1-$2")
+    ordered = F.when(month != "", dayfirst).otherwise(plain)
+    return F.when(text.rlike(MACHINE_SHAPES), ordered.try_cast("timestamp_ntz"))
+
+
+def unread(value: Column | str, parsed: Column) -> Column:
+    """Error text for a cell that is filled and holds no readable date."""
+    text = squeeze(value)
+    return F.when((text != "") & ~text.isin(*NO_DATE_CELLS) & parsed.isNull(), F.lit("no readable date"))
+
+
 def free_timestamp(value: Column | str) -> Column:
-    """Free-form date: month first, day first where the month cannot be one,
-    24-hour or AM/PM clock, ISO with blank or T. Anything else is null."""
+    """Free-form date: month first, day first where the month cannot be one, 24-hour or
+    AM/PM clock, ISO with blank or T, and the shapes machines write (fractions are cut
+    at microseconds, a Z is dropped: times stay wall-clock). Anything else is null."""
     text = squeeze(value)
     half_day = F.regexp_replace(F.upper(text), r"^([^ ]+ [0-9]{1,2}:[0-9]{2}) ([AP]M)$", "$1:00 $2")
     return F.coalesce(
@@ -71,6 +106,7 @@ def free_timestamp(value: Column | str) -> Column:
             text.rlike(DAY_FIRST_SHAPE),
             F.regexp_replace(text, _MONTH_FIRST, "$3-$2-$1").try_cast("timestamp_ntz"),
         ),
+        _machine_timestamp(text),
     )
 
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaseload.operators.keys import attach, first_rows, last_wins, repeats, without_known
+from leaseload.operators.keys import attach, first_rows, last_wins, without_known
 from leaseload.sources.exports import ROW_ORDER, stage
 
 REPEAT_REASON = "repeat_in_file"
@@ -172,7 +172,10 @@ class Outcome:
 
     @property
     def rejects(self) -> DataFrame:
-        """One row per source row that is not loaded: id, outcome, reason, field, value."""
+        """One row per source row that is not loaded: id, outcome, reason, field, value.
+
+        The row order is read twice, so it must be stored: see ``settled``.
+        """
         rows, hits = self.rows, []
         for n, check in enumerate(self.known):
             if check is self.known[-1] and self.on_match == "update":
@@ -190,12 +193,14 @@ class Outcome:
             *[F.split_part("_code", F.lit("|"), F.lit(n)).alias(c) for n, c in enumerate(("outcome", "reason", "field"), 1)],
             F.col("_value").alias("value"),
         ]
-        bad = judged.filter("_code IS NOT NULL").select(*shown)
         if not self.key or self.on_match == "update":
-            return bad
-        again = repeats(judged.filter("_code IS NULL"), list(self.key), self.order)
-        code = Rule(REPEAT_REASON, F.lit(True), self.key[-1]).code
-        return bad.unionByName(again.withColumn("_code", F.lit(code)).select(*shown))
+            return judged.filter("_code IS NOT NULL").select(*shown)
+        # Two reads in all: one for the first row of each key, one for everything else.
+        key = list(self.key)
+        firsts = judged.filter("_code IS NULL").dropna(subset=key).groupBy(*key).agg(F.min(self.order).alias("_first"))
+        told = attach(judged, firsts, [(k, k) for k in key])
+        again = F.when(F.col(self.order) != F.col("_first"), F.lit(Rule(REPEAT_REASON, F.lit(True), key[-1]).code))
+        return told.withColumn("_code", F.coalesce("_code", again)).filter("_code IS NOT NULL").select(*shown)
 
     @property
     def field_errors(self) -> DataFrame:

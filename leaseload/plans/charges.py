@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaseload.functions.dates import after_epoch, free_timestamp
+from leaseload.functions.dates import after_epoch, free_timestamp, unread
 from leaseload.functions.enums import credit_charge_type
 from leaseload.functions.numbers import id_text, number, rounded_cents, signed_cents, whole_number
 from leaseload.functions.records import source_system
 from leaseload.functions.text import BLANK_CELL_WORDS, folded, is_empty, squeeze, trimmed_or_null
 from leaseload.operators.keys import attach, last_wins, only_known
-from leaseload.operators.outcome import Known, Outcome, Rule
+from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
 from leaseload.params import Params
 from leaseload.plans.common import classified, ledger_customers, nothing
 from leaseload.sources.contracts import CHARGE_COLUMNS, CREDIT_COLUMNS, optional, require
@@ -85,6 +85,15 @@ def load_charges(
         Rule("no_charge_type", F.col("charge_type_id").isNull(), "CHARGEDESCID", F.col("CHARGEDESCID")),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
     ]
+    started, updated = optional(rows, "DCHGSTRT"), optional(rows, "DUPDATED")
+    # A stored run time that stands for a cell nobody could read is told.
+    unread_dates = field_errors(
+        {
+            "effective_date": (created, unread(started, free_timestamp(started)), started),
+            "created_at": (created, unread(optional(rows, "DCREATED"), created), optional(rows, "DCREATED")),
+            "updated_at": (created, unread(updated, free_timestamp(updated)), updated),
+        }
+    )
     derived = _charge(
         params,
         rows,
@@ -97,7 +106,7 @@ def load_charges(
         external_charge_id=id_text("CHARGEID"),
     )
     return Outcome(
-        rows=classified(rows, F.col("CHARGEID"), derived, before),
+        rows=classified(rows, F.col("CHARGEID"), derived, before, extra={"_errors": unread_dates}),
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),
@@ -139,6 +148,13 @@ def load_credits(
         Rule("bad_ledger", F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "error"),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
     ]
+    made = optional(rows, "DCREATED")
+    unread_dates = field_errors(
+        {
+            "effective_date": (effective, unread("DCREDIT", free_timestamp("DCREDIT")), F.col("DCREDIT")),
+            "created_at": (created, unread(made, free_timestamp(made)), made),
+        }
+    )
     derived = _charge(
         params,
         rows,
@@ -151,7 +167,7 @@ def load_credits(
         external_charge_id=F.coalesce(id_text("CREDITID"), F.lit("")),
     )
     return Outcome(
-        rows=classified(rows, F.col("CREDITID"), derived, before, after),
+        rows=classified(rows, F.col("CREDITID"), derived, before, after, {"_errors": unread_dates}),
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),

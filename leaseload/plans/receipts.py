@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaseload.functions.dates import free_timestamp
+from leaseload.functions.dates import free_timestamp, unread
 from leaseload.functions.numbers import number, rounded_cents, whole_number
 from leaseload.functions.records import receipt_number, source_system
 from leaseload.operators.keys import attach, last_wins
-from leaseload.operators.outcome import Known, Outcome, Rule
+from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
 from leaseload.params import Params
 from leaseload.plans.common import classified, long, nothing
 from leaseload.sources.contracts import RECEIPT_COLUMNS, optional, require
@@ -69,6 +69,9 @@ def load_receipts(
         Rule("no_payment", F.col("payment_id").isNull(), "PAYMENTID", F.col("PAYMENTID")),
         Rule("no_customer", F.col("customer_id").isNull(), "TENANTID", F.col("TENANTID")),
     ]
+    unread_dates = field_errors(
+        {"receipt_date": (stamped, unread("DRCPT", free_timestamp("DRCPT")), F.col("DRCPT"))}
+    )
     derived = {
         "receipt_number": key,
         "payment_id": F.col("payment_id"),
@@ -95,7 +98,7 @@ def load_receipts(
         "external_system": source_system(),
     }
     return Outcome(
-        rows=classified(rows, F.col("RECEIPTID"), derived, before, after),
+        rows=classified(rows, F.col("RECEIPTID"), derived, before, after, {"_errors": unread_dates}),
         columns=RECEIPT_TABLE,
         key=("receipt_number",),
         known=(Known(stored, (("receipt_number", "receipt_number"),)),),

@@ -224,3 +224,25 @@ def test_run_duration(spark):
 def test_total_cents(spark):
     frame = spark.createDataFrame([("1.5", None, "x"), ("-5", "2", None)], "a string, b string, c string")
     assert [r.y for r in frame.select(numbers.total_cents(["a", "b", "c"]).alias("y")).collect()] == [150, 0]
+
+
+def test_dates_as_machines_write_them(values):
+    from datetime import datetime as at
+
+    cells = ("2020-01-02 03:04:05.1234567", "2020-01-02T03:04:05Z", "2020/01/02", "20200102", "1/2/20", "1/2/70", "2-Jan-2020", "2-jan-69", "12345678", "2-xyz-2020", "2020/13/01")
+    assert values(dates.free_timestamp("x"), *cells) == [
+        at(2020, 1, 2, 3, 4, 5, 123456), at(2020, 1, 2, 3, 4, 5), at(2020, 1, 2), at(2020, 1, 2), at(2020, 1, 2), at(1970, 1, 2),
+        at(2020, 1, 2), at(1969, 1, 2), None, None, None,
+    ]
+    assert values(dates.unread("x", dates.free_timestamp("x")), "soon", " ", "1/2/20", "NaT", None) == [
+        "no readable date", None, None, None, None,
+    ]
+
+
+def test_ids_and_amounts_beyond_the_type(values):
+    long_ids = ("1234567890123456789", "1234567890123456790", "12345678901234567890.0", "9223372036854775807")
+    assert values(numbers.whole_number("x"), *long_ids) == [1234567890123456789, 1234567890123456790, None, 9223372036854775807]
+    assert values(numbers.id_text("x"), *long_ids) == [
+        "1234567890123456789", "1234567890123456790", "12345678901234567890", "9223372036854775807",
+    ]
+    assert values(numbers.dollars("x"), "99999999999.00", "$9,999,999,999.99", "x") == [None, Decimal("9999999999.99"), Decimal("0.00")]
