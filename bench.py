@@ -15,6 +15,7 @@ import os
 import re
 import tempfile
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,7 +58,7 @@ def session(cpus: int) -> SparkSession:
 
 def stage_all(spark: SparkSession, sf_dir: str, cpus: int) -> str:
     """Write every table the headline queries read, in as many files as there are cores."""
-    folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_STAGE_DIR"))
+    folder = f"{os.environ.get('BENCH_STAGE_DIR') or tempfile.gettempdir()}/bench-{uuid.uuid4().hex}"
     for name in sorted({a for query in HEADLINE for a in CHECKS[query].adapters}):
         frame(spark, sf_dir, name).repartition(cpus).write.parquet(f"{folder}/{name}")
     return folder

@@ -405,12 +405,11 @@ def with_adapters(names: tuple[str, ...], body: str) -> str:
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table. A file of one row group feeds one core only, so a scan of fewer
-    splits than cores is spread over them; any larger scan is left as it is."""
+    """A supplied table. The wide ones come as one row group, which feeds one core only,
+    so they are always spread; Spark's own setting says over how many tasks."""
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
     wide = name in ("lineitem", "orders", "events")
-    return table.repartition(cores) if wide and table.rdd.getNumPartitions() < cores else table
+    return table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if wide else table
 
 
 @cache

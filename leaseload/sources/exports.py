@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,37 +68,84 @@ def drop_blank_key(df: DataFrame, key: Column | str) -> DataFrame:
     return df.filter(~is_empty(key))
 
 
+# One set of options for batch and stream.
+READ_OPTIONS = {"quote": '"', "escape": '"', "header": "true"}
+
+
+def header_cells(lines: list[str]) -> list[str]:
+    """Cells of a header that may hold line breaks inside quotes."""
+    text = ""
+    for line in lines:
+        text += line if not text else f"\n{line}"
+        if text.count('"') % 2 == 0:
+            break
+    return next(csv.reader(io.StringIO(text.lstrip("\ufeff"))), [])
+
+
+def _headers(spark: SparkSession, path: str, encoding: str, upper: bool) -> dict[tuple[str, ...], list[str]]:
+    """Files of an export by their header; one short job for each file."""
+    text = spark.read.option("encoding", encoding)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(text.text(path).inputFiles()):
+        raw = header_cells([r.value for r in text.text(file).head(20)])
+        names = normal_header(raw) if upper else [c.strip() for c in raw]
+        if names:
+            found.setdefault(tuple(names), []).append(file)
+    return found
+
+
+def check_lines(spark: SparkSession, files: list[str], encoding: str = "UTF-8") -> None:
+    """Raise if a line holds an odd number of quotes: its record goes on in the next one."""
+    line = F.col("value")
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    found = spark.read.option("encoding", encoding).text(files).filter(odd).head(1)
+    if found:
+        raise ValueError(f"a quoted cell runs over its line, read with multi_line=True: {found[0].value[:60]}")
+
+
 def read_export(
     spark: SparkSession,
     path: str,
     encoding: str = "UTF-8",
     strict_na: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = False,
     upper: bool = True,
+    checked: bool = True,
 ) -> DataFrame:
     """Read a CSV export, every column as text, with its row order in ``_row_ord``.
 
-    ``multi_line`` keeps line breaks inside quoted memo cells but makes a file
-    unsplittable. Turn it off for large exports known to hold one row per line:
-    the scan then splits by ``spark.sql.files.maxPartitionBytes``.
+    Columns bind by name: a folder may hold files with other column orders, and a
+    column that a file lacks is null there. A scan splits by
+    ``spark.sql.files.maxPartitionBytes``; ``multi_line`` reads line breaks inside quoted
+    cells but takes each file as a whole. Without it, one scan over the lines first makes
+    sure that no cell goes on in the next line (``checked=False`` for files known to be so).
     """
-    base = spark.read.option("encoding", encoding).option("quote", '"').option("escape", '"')
-    first_line = spark.read.option("encoding", encoding).option("wholetext", False).text(path).first()
-    if first_line is None:
+    groups = _headers(spark, path, encoding, upper)
+    if not groups:
         raise ValueError(f"no header in {path}")
-    raw = next(csv.reader(io.StringIO(first_line[0].lstrip("﻿"))))
-    names = [c.strip() for c in raw] if not upper else normal_header(raw)
-    schema = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
-    rows = base.schema(schema).csv(path, header=True, multiLine=multi_line, enforceSchema=True)
-    ordered = rows.select(
-        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)],
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias(ROW_ORDER),
-    )
-    ordered = ordered.drop(*[c for c in names if c.strip().upper() == TOTALS_COLUMN])
+    files = sorted(file for own in groups.values() for file in own)
+    number = F.array_position(F.array(*[F.lit(f) for f in files]), F.col("_metadata.file_path"))
+    parts = []
+    for names, own in groups.items():
+        schema = ", ".join(f"`c{i}` STRING" for i in range(len(names)))
+        # A header over several lines is a record over several lines.
+        whole = multi_line or any("\n" in name for name in names)
+        if checked and not whole:
+            check_lines(spark, own, encoding)
+        read = spark.read.options(**READ_OPTIONS).option("encoding", encoding).option("multiLine", whole)
+        rows = read.option("enforceSchema", True).schema(schema).csv(own)
+        parts.append(
+            rows.select(
+                *[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
+                F.struct(
+                    number.alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line"),
+                ).alias(ROW_ORDER),
+            )
+        )
+    ordered = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    ordered = ordered.drop(*[c for c in ordered.columns if c.strip().upper() == TOTALS_COLUMN])
     return na_to_null(ordered) if strict_na else ordered
 
 

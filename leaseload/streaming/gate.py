@@ -13,14 +13,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from leaseload.params import Params
 from leaseload.plans.gate import load_gate_log
-from leaseload.sources.exports import ROW_ORDER, na_to_null
+from leaseload.sources.exports import READ_OPTIONS, ROW_ORDER, na_to_null
 
 
 def gate_stream(spark: SparkSession, folder: str, columns: tuple[str, ...], encoding: str = "UTF-8") -> DataFrame:
-    """New CSV exports of a folder, all text. ``columns`` is the header in file order."""
-    schema = ", ".join(f"`{c.strip().upper()}` STRING" for c in columns)
-    rows = spark.readStream.schema(schema).option("header", True).option("encoding", encoding).csv(folder)
-    return na_to_null(rows).withColumn(ROW_ORDER, F.lit(None).cast("bigint"))
+    """New CSV exports of a folder, all text, read as the batch reader reads them.
+
+    ``columns`` is the header in file order, as it is written in the files. A file with
+    another header ends the run.
+    """
+    schema = ", ".join(f"`{c}` STRING" for c in columns)
+    read = spark.readStream.options(**READ_OPTIONS).option("enforceSchema", False).option("encoding", encoding)
+    rows = read.schema(schema).csv(folder)
+    cells = [F.col(f"`{c}`").alias(c.strip().upper()) for c in columns]
+    return na_to_null(rows.select(*cells)).withColumn(ROW_ORDER, F.lit(None).cast("bigint"))
 
 
 def append_gate_events(events: DataFrame, params: Params, target: str, checkpoint: str) -> StreamingQuery:

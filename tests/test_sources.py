@@ -21,16 +21,40 @@ def test_read_export(spark, tmp_path):
     path.write_bytes(
         'chargeid, memo ,Totals & Averages\r\n1.0,"two\nlines, ""quoted""",9\r\n,NA,9\r\n3,caf\xe9,9\r\n'.encode("latin-1")
     )
-    rows = read_export(spark, str(path), encoding="ISO-8859-1")
+    rows = read_export(spark, str(path), encoding="ISO-8859-1", multi_line=True)
     assert [c for c in rows.columns if c != "_row_ord"] == ["CHARGEID", "MEMO"]
     got = [(r.CHARGEID, r.MEMO) for r in rows.orderBy("_row_ord").collect()]
     assert got == [("1.0", 'two\nlines, "quoted"'), (None, None), ("3", "café")]
     assert drop_empty_rows(rows).count() == 2
     assert drop_blank_key(rows, "CHARGEID").count() == 2
-    keep = read_export(spark, str(path), encoding="ISO-8859-1", strict_na=False).orderBy("_row_ord").collect()
+    keep = read_export(spark, str(path), encoding="ISO-8859-1", strict_na=False, multi_line=True).orderBy("_row_ord").collect()
     assert keep[1].MEMO == "NA"
 
 
+def test_files_of_a_folder_bind_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,AMT\n1,10\n")
+    (tmp_path / "b.csv").write_text("AMT,ID\n20,2\n")
+    (tmp_path / "c.csv").write_text("ID,MEMO\n3,x\n")
+    rows = read_export(spark, str(tmp_path)).orderBy("_row_ord").collect()
+    assert [(r.ID, r.AMT, r.MEMO) for r in rows] == [("1", "10", None), ("2", "20", None), ("3", None, "x")]
+
+
+def test_header_with_a_line_break(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,"ME\nMO"\n1,x\n')
+    rows = read_export(spark, str(tmp_path))
+    assert [c for c in rows.columns if c != "_row_ord"] == ["ID", "ME\nMO"]
+    assert [r.ID for r in rows.collect()] == ["1"]
+
+
+def test_a_cell_over_its_line_ends_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,MEMO\n1,"say ""hi"""\n2,"""quoted"" x"\n')
+    assert [r.MEMO for r in read_export(spark, str(tmp_path)).collect()] == ['say "hi"', '"quoted" x']
+    (tmp_path / "a.csv").write_text('ID,MEMO\n1,"two\nlines"\n')
+    with pytest.raises(Exception, match="runs over its line"):
+        read_export(spark, str(tmp_path)).collect()
+    assert [r.MEMO for r in read_export(spark, str(tmp_path), multi_line=True).collect()] == ["two\nlines"]
+
+
 def test_row_order_follows_the_file_over_splits(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("id\n" + "\n".join(str(n) for n in range(20000)) + "\n")
