@@ -236,11 +236,12 @@ def insert_null_keys_never_conflict(t: Tables) -> DataFrame:
 
 
 @check("insert_conditional_key", ("t_leases",), """
-    SELECT id FROM (SELECT id, status, row_number() OVER (PARTITION BY status, unit_id ORDER BY id) AS rn FROM t_leases)
-    WHERE status <> 'ACTIVE' OR rn = 1""")
+    SELECT id FROM (SELECT id, status, unit_id, row_number() OVER (PARTITION BY status, unit_id ORDER BY id) AS rn FROM t_leases) r
+    WHERE status <> 'ACTIVE' OR (rn = 1 AND NOT EXISTS (
+        SELECT 1 FROM t_leases s WHERE s.id % 20 = 0 AND s.status = 'ACTIVE' AND s.unit_id = r.unit_id))""")
 def insert_conditional_key(t: Tables) -> DataFrame:
     leases = t("t_leases")
-    return new_rows(leases.filter("id < 0"), leases, ["unit_id"], order="id", key_filter=F.col("status") == "ACTIVE").select("id")
+    return new_rows(leases.filter("id % 20 = 0"), leases, ["unit_id"], order="id", key_filter=F.col("status") == "ACTIVE").select("id")
 
 
 @check("preview_first_rows", ("x_tenancy",), "SELECT _o1 AS tenancy, SUNITNAME AS unit FROM x_tenancy ORDER BY _o1 LIMIT 5")

@@ -36,18 +36,28 @@ def last_wins(df: DataFrame, key: list[str], values: list[str], order: Column) -
 
 
 def first_rows(
-    df: DataFrame, key: list[str], order: list[Column | str], keep_null_keys: bool = False
+    df: DataFrame,
+    key: list[str],
+    order: list[Column | str],
+    keep_null_keys: bool = False,
+    only_where: Column | None = None,
 ) -> DataFrame:
     """The first row of every key. Rows with a null in the key are dropped, or all
-    kept with ``keep_null_keys`` (a null never conflicts with another null).
+    kept with ``keep_null_keys`` (a null never conflicts with another null); rows for
+    which ``only_where`` does not hold are all kept then too.
 
     The rank filter runs before the shuffle too (one row per key and task), so a
-    hot key never reaches one task as a whole.
+    hot key never reaches one task as a whole. Rows that stand alone are ranked by
+    their own place, which keeps the read a single one and spreads them.
     """
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-    ranked = df.filter(complete).withColumn("_rank", F.row_number().over(W.partitionBy(*key).orderBy(*order)))
-    firsts = ranked.filter("_rank = 1").drop("_rank")
-    return firsts.unionByName(df.filter(~complete)) if keep_null_keys else firsts
+    if not keep_null_keys:
+        rows, parts = df.filter(complete), [F.col(k) for k in key]
+    else:
+        held = complete if only_where is None else complete & F.coalesce(only_where, F.lit(False))
+        rows, parts = df, [*[F.when(held, F.col(k)) for k in key], F.when(~held, F.struct(*order))]
+    ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*parts).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def latest_rows(df: DataFrame, key: list[str], newest: Column, order: list[Column | str]) -> DataFrame:
@@ -73,11 +83,20 @@ def known_flag(
 
 
 def without_known(
-    facts: DataFrame, known: DataFrame, on: list[tuple[str, str]], null_safe: bool = False
+    facts: DataFrame,
+    known: DataFrame,
+    on: list[tuple[str, str]],
+    null_safe: bool = False,
+    only_where: Column | None = None,
 ) -> DataFrame:
-    """Rows whose key does not exist yet."""
+    """Rows whose key does not exist yet, and those for which ``only_where`` does not hold."""
     right = known.select(*[F.col(b).alias(f"_k_{b}") for _, b in on])
-    return facts.join(right, _same(facts, right, [(a, f"_k_{b}") for a, b in on], null_safe), "left_anti")
+    test = _same(facts, right, [(a, f"_k_{b}") for a, b in on], null_safe)
+    if only_where is None:
+        return facts.join(right, test, "left_anti")
+    marked = facts.withColumn("_held", F.coalesce(only_where, F.lit(False)))
+    test = _same(marked, right, [(a, f"_k_{b}") for a, b in on], null_safe)
+    return marked.join(right, test & marked["_held"], "left_anti").drop("_held")
 
 
 def only_known(facts: DataFrame, known: DataFrame, on: list[tuple[str, str]]) -> DataFrame:

@@ -29,15 +29,10 @@ def new_rows(
     with nothing. ``key_filter`` limits the rule to some rows (of both sides), as a
     conditional unique key does; other rows are all added.
     """
-    if key_filter is None:
-        candidates, free = source, None
-    else:
-        applies = F.coalesce(key_filter, F.lit(False))
-        candidates, free = source.filter(applies), source.filter(~applies)
+    if key_filter is not None:
         target = target.filter(key_filter)
-    winners = first_rows(candidates, key, [order], keep_null_keys=True)
-    added = without_known(winners, target, [(k, k) for k in key])
-    return added if free is None else added.unionByName(free)
+    winners = first_rows(source, key, [order], keep_null_keys=True, only_where=key_filter)
+    return without_known(winners, target, [(k, k) for k in key], only_where=key_filter)
 
 
 def insert_new(
