@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters of text whose words are replayed together.
-BATCH_CHARS = 8 << 20
+BATCH_CHARS = 4 << 20
 # Words a worker remembers the ids of.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 NONE = np.int32(np.iinfo(np.int32).max)
 
 
