@@ -16,15 +16,19 @@ from pyspark.sql import functions as F
 BATCH_ROWS = "1000"
 
 
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a folder of its own is set.
+    Only where the session names none (local tests) a folder of its own is used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="llm-shared-"))
+        folder = _own_folder[0]
     return folder.rstrip("/")
 
 
