@@ -39,6 +39,11 @@ HEADLINE = (
     "insert_skip_existing",
     "created_by_backfill",
     "former_tenants_extract",
+    "payments_rejects",
+    "units_insert",
+    "customers_load",
+    "lease_history_quad_dedup",
+    "customer_balance",
 )
 
 

@@ -110,3 +110,20 @@ def test_tune_sets_runtime_settings(spark):
     tune(spark)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_rejects_read_their_rows_twice(spark):
+    def scans(name):
+        return physical(CHECKS[name].run(spark, SMALL)).count("FileScan")
+
+    assert scans("payments_rejects") <= 2 * scans("payments_load")
+
+
+def test_insert_of_new_rows_reads_its_source_once(spark):
+    from leaseload.operators.load import new_rows
+
+    source = spark.read.parquet(f"{SMALL}/orders.parquet").select("o_custkey", "o_orderkey", "o_orderstatus")
+    target = spark.range(5).select(F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"))
+    for held in (None, F.col("o_orderstatus") == "O"):
+        plan = physical(new_rows(target, source, ["o_custkey"], order="o_orderkey", key_filter=held))
+        assert plan.count("FileScan") == 1
