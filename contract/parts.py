@@ -179,9 +179,12 @@ def existing_key_flag(t: Tables) -> DataFrame:
 
 @check("composite_key_anti_join", ("t_leases", "t_links"), """
     SELECT id FROM t_leases l WHERE NOT EXISTS (SELECT 1 FROM t_links k WHERE k.customer_id = l.customer_id AND k.unit_id = l.unit_id
-        AND k.lease_date = l.move_in_date AND k.move_out_date IS NOT DISTINCT FROM l.move_out_date AND k.move_out_date IS NOT NULL)""")
+        AND k.lease_date = l.move_in_date AND k.move_out_date IS NOT NULL AND l.move_out_date =
+            CASE WHEN k.unit_id % 3 = 0 THEN CAST(k.move_out_date + INTERVAL 1 DAY AS DATE) ELSE k.move_out_date END)""")
 def composite_key_anti_join(t: Tables) -> DataFrame:
-    ended = t("t_links").filter("move_out_date IS NOT NULL")
+    # A third of the links match a lease in all columns of the key but the last.
+    later = F.when(F.col("unit_id") % 3 == 0, F.date_add("move_out_date", 1)).otherwise(F.col("move_out_date"))
+    ended = t("t_links").filter("move_out_date IS NOT NULL").withColumn("move_out_date", later)
     on = [("customer_id", "customer_id"), ("unit_id", "unit_id"), ("move_in_date", "lease_date"), ("move_out_date", "move_out_date")]
     return without_known(t("t_leases"), ended, on, null_safe=True).select("id")
 

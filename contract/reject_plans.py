@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from contract import money_plans as money
 from contract import tenancy_plans as tenancy
@@ -71,8 +70,7 @@ def synthetic_id_rejects(t: Tables) -> DataFrame:
 
 @check("balance_rejects", ("x_balances", "t_customers"), told_sql(tenancy.BALANCE_SQL, "TENANTID", ONE))
 def balance_rejects(t: Tables) -> DataFrame:
-    none = t("t_customers").select(F.col("id").alias("customer_id")).filter("customer_id < 0")
-    return told(tenancy.load_balances(t("x_balances"), t("t_customers"), none, PARAMS))
+    return told(tenancy.balances(t))
 
 
 @check("card_profiles_rejects", tenancy.CARDS, f"""WITH {tenancy.CARD_SQL}

@@ -124,11 +124,16 @@ def parse_dates_after_1900(t: Tables) -> DataFrame:
 
 @check("parse_billing_and_iso_dates", ("x_tenancy",), f"""
     SELECT _o1 AS tenancy, {day(strptime('DLEASE', ['%m/%d/%Y', '%Y-%m-%d']))} AS lease, {day(strptime('DMOVEDIN', ['%m/%d/%Y']))} AS moved_in,
-           {day(strptime('DMOVEDIN', ['%m/%d/%Y', '%Y-%m-%d']))} AS moved_in_text FROM x_tenancy""")
+           {day(strptime('DMOVEDIN', ['%m/%d/%Y', '%Y-%m-%d']))} AS moved_in_text,
+           strftime(DATE '1970-01-01' + CAST(_o1 % 20000 AS INTEGER), '%Y-%m-%d') AS short FROM x_tenancy""")
 def parse_billing_and_iso_dates(t: Tables) -> DataFrame:
+    # Two-digit years on both sides of the turn of the century.
+    on = F.date_add(F.lit("1970-01-01").cast("date"), (F.col("_row_ord") % 20000).cast("int"))
+    short = F.date_format(on, "M/d/yy")
     return t("x_tenancy").select(
         F.col("_row_ord").alias("tenancy"), dates.billing_date("DLEASE").alias("lease"),
         dates.billing_date("DMOVEDIN").alias("moved_in"), dates.iso_text("DMOVEDIN").alias("moved_in_text"),
+        dates.billing_date(short).alias("short"),
     )
 
 

@@ -410,15 +410,20 @@ _OWED = "DCRENTBAL DCLATEFEE1BAL DCLATEFEE2BAL DCLATEFEE3BAL DCLATEFEE4BAL DCLAT
 _BALANCE = " + ".join(f"COALESCE({num(c)}, 0)" for c in _OWED)
 BALANCE_SQL = f"""{TEXT_CUSTOMERS},
     c AS (SELECT x.*, customer_id, customer_id AS ky, CASE WHEN customer_id IS NULL THEN 'no_customer' END AS b,
-        CAST(NULL AS VARCHAR) AS k, CAST(NULL AS VARCHAR) AS a FROM x_balances x LEFT JOIN customers ON trim(TENANTID) = tenant_key)"""
+        CASE WHEN customer_id % 7 = 0 THEN 'duplicate' END AS k, CAST(NULL AS VARCHAR) AS a FROM x_balances x LEFT JOIN customers ON trim(TENANTID) = tenant_key)"""
+
+
+def balances(t: Tables) -> Outcome:
+    """Every seventh customer has a stored balance."""
+    stored = t("t_customers").select(F.col("id").alias("customer_id")).filter("customer_id % 7 = 0")
+    return load_balances(t("x_balances"), t("t_customers"), stored, PARAMS)
 
 
 @check("customer_balance", ("x_balances", "t_customers"), accepted_sql(BALANCE_SQL, f"""customer_id,
     greatest(0, CAST(round_even(({_BALANCE}) * 100, 0) AS BIGINT)) AS balance_in_cents, {money_cents('DCCREDITBAL')} AS credit_balance_in_cents,
     {ts(free_at('DPMTLAST'))} AS last_payment_date, {money_cents('DCPMTLASTAMT')} AS last_payment_amount_in_cents""", ONE))
 def customer_balance(t: Tables) -> DataFrame:
-    stored = t("t_customers").select(F.col("id").alias("customer_id")).filter("customer_id < 0")
-    return load_balances(t("x_balances"), t("t_customers"), stored, PARAMS).accepted.select(
+    return balances(t).accepted.select(
         "customer_id", "balance_in_cents", "credit_balance_in_cents", "last_payment_date", "last_payment_amount_in_cents"
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Words that stand for "no value" after trimming and lower-casing.
 BLANK_WORDS = ("", "nan", "none")
 BLANK_DATE_WORDS = ("", "nan", "nat", "none")
-BLANK_ID_WORDS = ("", "nan", "none", "null", "nat")
 BLANK_CELL_WORDS = ("", "nan")
 TRUE_WORDS = ("1", "true", "yes", "t", "y")
 

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaseload.operators.keys import attach, first_rows, last_wins, without_known
+from leaseload.operators.keys import attach, first_rows, known_flag, last_wins, without_known
 from leaseload.sources.exports import ROW_ORDER, stage
 
 REPEAT_REASON = "repeat_in_file"
@@ -249,6 +249,4 @@ class Outcome:
 
 
 def _flag(rows: DataFrame, check: Known, name: str) -> DataFrame:
-    table_columns = [b for _, b in check.on]
-    keys = check.table.select(*table_columns).distinct().withColumn(name, F.lit(True))
-    return attach(rows, keys, list(check.on), check.null_safe).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+    return known_flag(rows, check.table, list(check.on), name, check.null_safe)
