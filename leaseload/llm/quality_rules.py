@@ -179,8 +179,12 @@ def failed_rules(value_map: Column, fence_map: Column) -> Column:
 
 
 def _verdict(rows: DataFrame, at: str) -> tuple[DataFrame, Column, Column]:
-    """Rows (as ``d``) beside the fences of their group, base rule, failed signals."""
-    limits = fences(sketches(rows, shares(at))).alias("f")
+    """Rows (as ``d``) beside the fences of their group, base rule, failed signals.
+
+    The fences are written first: then their size is known before the join is planned,
+    and only fences too large to be sent to every task make the rows move.
+    """
+    limits = written(fences(sketches(rows, shares(at))), "quality-fences").alias("f")
     same_group = F.col("d.lang").eqNullSafe(F.col("f.lang")) & F.col("d.source").eqNullSafe(F.col("f.source"))
     joined = rows.alias("d").join(limits, same_group, "left")
     return joined, base_failed(f"d.{at}"), failed_rules(shares(f"d.{at}"), F.col("f.fences"))
