@@ -297,9 +297,13 @@ def judged(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their own columns."""
+    """The rows of ``docs`` that are not contaminated, with their own columns.
+
+    The rows to drop are written first, so that their size is known before the join is
+    planned: few are sent to every task, many are shuffled with the documents.
+    """
     row = free_name(docs, "row_of_table")
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-documents")
     found = contamination(numbered.select(F.col(row).alias("row"), "doc_id", "text"), items)
-    dirty = found.filter("contaminated").select(F.col("row").alias(row))
+    dirty = written(found.filter("contaminated").select(F.col("row").alias(row)), "contaminated-rows")
     return numbered.join(dirty, row, "left_anti").select(docs.columns)
