@@ -20,13 +20,27 @@ from leaseload.plans.payments import credited_payments
 from leaseload.plans.receipts import payment_lookup
 from leaseload.sources import legacy
 from leaseload.sources.contracts import UNIT_KEYS, check_constraints, check_target, validation_report
-from leaseload.sources.exports import drop_blank_key, drop_empty_rows, fill_blank, na_to_null, trim_cells
+from leaseload.sources.exports import READ_OPTIONS, drop_blank_key, drop_empty_rows, fill_blank, na_to_null, trim_cells
 from leaseload.sources.runs import newest_runs, parse_runs, record_run, run_statistics, with_duration
 from leaseload.sources.tables import customers_by_number, units_by_name
 
 # -- scans and contracts ----------------------------------------------------------
 
 
+@check("export_lines_parsed", ("x_charges",), """
+    SELECT _o1 AS line, _o2 AS supplier, NULLIF(CHARGEID, '') AS id, 'say "' || COALESCE(SCHGDESC, 'none') || '", ok' AS memo,
+           NULLIF(DCREATED, '') AS created FROM x_charges""")
+def export_lines_parsed(t: Tables) -> DataFrame:
+    """Lines as an export holds them, every cell quoted, through the reader's own options."""
+    memo = F.concat(F.lit('say "'), F.coalesce("SCHGDESC", F.lit("none")), F.lit('", ok'))
+    cells = [F.coalesce("CHARGEID", F.lit("")), memo, F.coalesce("DCREATED", F.lit(""))]
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells]
+    options = {name: READ_OPTIONS[name] for name in ("quote", "escape")}
+    parsed = F.from_csv(F.concat_ws(",", *quoted), "id STRING, memo STRING, created STRING", options)
+    rows = t("x_charges").select(F.col("_row_ord._o1").alias("line"), F.col("_row_ord._o2").alias("supplier"), parsed.alias("p"))
+    return rows.select("line", "supplier", "p.*")
+
+
 @check("export_cells_cleaned", ("x_former",), """
     SELECT _o1 AS ledger, COALESCE(trim(CASE WHEN LASTNAME NOT IN ('', 'nan', 'NaN', 'NULL', 'NA') THEN LASTNAME END), '') AS last_name,
            COALESCE(trim(EMAIL), '') AS email, COALESCE(trim(TENANTID), '') AS tenant FROM x_former""")

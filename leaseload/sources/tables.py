@@ -16,11 +16,17 @@ def read_table(spark: SparkSession, path: str, columns: tuple[str, ...], scope:
     return (table if scope is None else table.filter(scope)).select(*columns)
 
 
+JDBC_SPLIT = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def read_jdbc_table(
     spark: SparkSession, url: str, table: str, columns: tuple[str, ...], scope: Column | None = None, **options: str
 ) -> DataFrame:
-    """Same over JDBC. Give partitionColumn, lowerBound, upperBound and numPartitions
-    in ``options`` for any table that is not small, else one task reads it all."""
+    """Same over JDBC. ``options`` must name how the read is split, since one task would
+    otherwise read the whole table."""
+    missing = [name for name in JDBC_SPLIT if name not in options]
+    if missing:
+        raise ValueError(f"a JDBC read needs {', '.join(missing)}")
     rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
     return (rows if scope is None else rows.filter(scope)).select(*columns)
 

@@ -9,7 +9,7 @@ from leaseload.sources.contracts import (
 )
 from leaseload.sources.exports import drop_blank_key, drop_empty_rows, normal_header, read_export, shared_folder, stage, trim_cells, with_header
 from leaseload.sources.runs import newest_runs, read_runs, record_run, run_statistics
-from leaseload.sources.tables import read_table
+from leaseload.sources.tables import read_jdbc_table, read_table
 
 
 def test_header_is_normalised_and_repeats_are_numbered():
@@ -152,3 +152,8 @@ def test_run_history(spark, tmp_path):
     assert [r.run_id for r in newest_runs(runs, 1).collect()] == ["b"]
     changed = record_run(runs, runs.filter("run_id = 'b'").withColumn("status", F.lit("success")))
     assert sorted((r.run_id, r.status) for r in changed.collect()) == [("a", "success"), ("b", "success")]
+
+
+def test_jdbc_read_must_be_split(spark):
+    with pytest.raises(ValueError, match="upperBound, numPartitions"):
+        read_jdbc_table(spark, "jdbc:none", "t", ("id",), partitionColumn="id", lowerBound="0")
