@@ -44,7 +44,7 @@ RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 END_ID = 2
 # Words a worker remembers the ids of.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 # Byte-level vocabularies spell a byte that prints as itself and any other from U+0100 on.
 _PRINTS = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
