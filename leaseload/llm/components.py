@@ -2,64 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaseload.llm.common import written
 
-# Links that a task contracts together.
-CHUNK = 1 << 20
-
-
-def contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vertices of some links and the least vertex each reaches over these links alone."""
-    vertices, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    left, right = ends[: len(a)], ends[len(a) :]
-    label = np.arange(len(vertices))
-    while True:
-        least = np.minimum(label[left], label[right])
-        new = label.copy()
-        for side in (left, right, label[left], label[right]):
-            np.minimum.at(new, side, least)
-        while (new[new] != new).any():
-            new = new[new]
-        if (new == label).all():
-            return vertices, vertices[label]
-        label = new
-
-
-def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += len(batch)
-        if size >= CHUNK:
-            links = pd.concat(held)
-            held, size = [], 0
-            yield pd.DataFrame(dict(zip(("vertex", "root"), contracted(links["a"].to_numpy(), links["b"].to_numpy()))))
-    if size:
-        links = pd.concat(held)
-        yield pd.DataFrame(dict(zip(("vertex", "root"), contracted(links["a"].to_numpy(), links["b"].to_numpy()))))
-
 
 def smallest_label(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(vertex, label): the least vertex each vertex of ``edges`` can reach.
 
-    Each round contracts the links chunk by chunk, where they lie: a chunk gives each of
-    its vertices one root. Then each vertex meets its roots, one per chunk at most; where
-    they differ, they are linked to the least of them for the next round. Once every
-    vertex has one root, that root is the least vertex of its component. A round is one
-    shuffle and one written table; the driver learns only whether any roots differ.
+    Each round takes the least label among the neighbours and then follows the label
+    one step further, so chains halve. Labels live in a written table per round; the
+    driver learns only how many labels changed. No links: an empty table.
     """
-    links = edges.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    both = edges.select(F.col(a).alias("vertex"), F.col(b).alias("other")).unionByName(
+        edges.select(F.col(b).alias("vertex"), F.col(a).alias("other"))
+    )
+    labels = written(both.groupBy("vertex").agg(F.least(F.min("other"), F.col("vertex")).alias("label")), "labels")
     while True:
-        roots = links.mapInPandas(_contract, "vertex bigint, root bigint")
-        met = written(roots.groupBy("vertex").agg(F.collect_set("root").alias("roots")), "components")
-        if not met.filter(F.size("roots") > 1).limit(1).count():
-            return met.select("vertex", F.col("roots")[0].alias("label"))
-        joined = F.explode(F.array_union(F.array("vertex"), "roots"))
-        links = met.select(joined.alias("a"), F.array_min("roots").alias("b"))
+        seen = both.join(labels.select(F.col("vertex").alias("other"), "label"), "other")
+        nearest = seen.groupBy("vertex").agg(F.min("label").alias("near"))
+        reached = labels.join(nearest, "vertex").select(
+            "vertex", F.col("label").alias("old"), F.least("label", "near").alias("label")
+        )
+        onward = labels.select(F.col("vertex").alias("label"), F.col("label").alias("further"))
+        moved = written(
+            reached.join(onward, "label", "left").select(
+                "vertex", "old", F.least("label", F.coalesce("further", "label")).alias("label")
+            ),
+            "labels",
+        )
+        changed = moved.filter("label <> old").limit(1).count()
+        labels = moved.select("vertex", "label")
+        if not changed:
+            return labels
