@@ -76,6 +76,22 @@ def test_checksums_and_context(documents):
     assert spans_of(documents, "see +1 555 010 2030") == [("phone", "+1 555 010 2030", 0.7)]
 
 
+# 16 to 19 digits that pass Luhn.
+CARDS = ["4111111111111111", "41111111111111113", "411111111111111118", "4111111111111111110"]
+
+
+@pytest.mark.parametrize("separator", [" ", "-"])
+def test_cards_spelled_digit_by_digit(documents, separator):
+    texts = [f"pay {separator.join(card)} now" for card in CARDS]
+    texts += [separator.join(CARDS[0][:-1]), "4 11 1 1-1 1-11-11 1 1 11 1", "4 1" + "  1" * 14]
+    assert [len(plain(t)) for t in texts] == [1, 1, 1, 1, 0, 1, 0]
+    docs = documents(*texts)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.found_in(docs).collect()}
+    assert found == {n: plain(t) for n, t in enumerate(texts)}
+    masked = {r.doc_id: r.text for r in pii.masked_documents(docs).collect()}
+    assert [masked[n] for n in range(len(CARDS))] == ["pay [CARD] now"] * len(CARDS)
+
+
 def test_joined_spans(spark, documents):
     row = pii.found_in(documents("x a@b.cd 1.2.3.4")).select(pii.joined_spans("spans").alias("s")).collect()[0]
     assert row.s == "email:2:8,ip:9:16"
