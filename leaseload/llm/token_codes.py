@@ -114,6 +114,13 @@ def id_at(levels: list[dict[str, bytes]], place: int) -> int:
     return value
 
 
+def lowers_alike(piece: bytes) -> bool:
+    """Whether composing changes nothing before and after A-Z are lower-cased."""
+    return piece.isascii() or all(
+        is_normalized("NFC", form.decode("utf-8", "surrogatepass")) for form in (piece, piece.lower())
+    )
+
+
 class WordIds(dict):
     """Ids of a word by a tokenizer file, as little-endian unsigned 32-bit integers.
 
@@ -124,7 +131,9 @@ class WordIds(dict):
     together from its lower-case letters and its marks. Lower-case letters need no
     normalising and no cutting, so they go straight to the tokenizer's merge model,
     each byte spelled as the model's vocabulary spells it. These shortcuts are tried
-    on sample words first and left out for a tokenizer they do not hold for.
+    on sample words first and left out for a tokenizer they do not hold for. Letters
+    are lower-cased ahead of the tokenizer only where composing changes nothing: it
+    comes first there, and some letters are composed in lower case only.
     """
 
     MARKS = string.punctuation.replace("'", "").encode()
@@ -181,10 +190,17 @@ class WordIds(dict):
         self[word] = value
         return value
 
+    def words_of(self, piece: bytes) -> list[bytes]:
+        # bytes.lower changes A-Z only, bytes.split cuts at ASCII white space only.
+        if not self.lowers:
+            return piece.split()
+        if lowers_alike(piece):
+            return piece.lower().split()
+        return [word.lower() if lowers_alike(word) else word for word in piece.split()]
+
     def encode(self, text: str | None) -> bytes:
         whole = (text or "").encode("utf-8", "surrogatepass")
-        # bytes.lower changes A-Z only, bytes.split cuts at ASCII white space only.
-        return b"".join(map(self.__getitem__, (whole.lower() if self.lowers else whole).split()))
+        return b"".join(map(self.__getitem__, self.words_of(whole)))
 
 
 _encoders: dict[str, WordIds] = {}

@@ -52,6 +52,17 @@ def test_word_ids_equal_the_library(library, monkeypatch):
         assert np.frombuffer(words.encode(text), "<u4").tolist() == expected, text
 
 
+# Letters that are composed in lower case only; the marks come after the letters.
+LOWER_ONLY = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+
+
+def test_letters_composed_in_lower_case_only(library):
+    words = token_codes.WordIds(PATH)
+    for text in [*LOWER_ONLY, *(f"A{x}b THE {x}, {x.lower()} É{x}" for x in LOWER_ONLY)]:
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == expected, ascii(text)
+
+
 def test_written_and_read_back(spark, documents, library):
     texts = {3: LONG, 1: "Hello World", 7: "", 5: None, 2: "Hello World", -4: "before all"}
     docs = documents(*texts.items(), (1, "same id"), (None, "no id"), extra=CLASHING)
