@@ -24,6 +24,7 @@ order. A null text is empty and has only the end id. Empty table: empty folders.
 from __future__ import annotations
 
 import os
+import re
 import string
 import struct
 import uuid
@@ -134,16 +135,36 @@ class WordIds(dict):
     on sample words first and left out for a tokenizer they do not hold for. Letters
     are lower-cased ahead of the tokenizer only where composing changes nothing: it
     comes first there, and some letters are composed in lower case only.
+
+    Special tokens quoted in a text count as text, or, without ``special_as_text``, have
+    their own id as in the library's default: they are cut out of the text as it stands,
+    before letters or words are looked at. A tokenizer with added tokens that take more
+    than that to find gets whole texts.
     """
 
     MARKS = string.punctuation.replace("'", "").encode()
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        if special_as_text:
+            added = {i: token for i, token in added.items() if not token.special}
+        # Tokens that stand in the raw text as they are spelled, and mean text elsewhere.
+        self.added = {
+            token.content.encode(): struct.pack("<I", i)
+            for i, token in added.items()
+            if token.special
+            and not (token.normalized or token.single_word or token.lstrip or token.rstrip)
+            and token.content.isascii()
+            and len(token.content.split()) == 1
+        }
+        self.words_alone = len(self.added) == len(added)
+        spelled = sorted(self.added, key=len, reverse=True)
+        self.added_at = re.compile(b"(" + b"|".join(map(re.escape, spelled)) + b")") if spelled else None
+        self.tokenizer.encode_special_tokens = special_as_text or self.words_alone
         self.merges = self.tokenizer.model.tokenize
         self.older: dict[bytes, bytes] = {}
         library = self.of_library
@@ -200,26 +221,42 @@ class WordIds(dict):
 
     def encode(self, text: str | None) -> bytes:
         whole = (text or "").encode("utf-8", "surrogatepass")
-        return b"".join(map(self.__getitem__, self.words_of(whole)))
+        if not self.words_alone:
+            return self.of_library(whole)
+        if not any(token in whole for token in self.added):
+            return b"".join(map(self.__getitem__, self.words_of(whole)))
+        # Every other piece is an added token.
+        pieces = self.added_at.split(whole)
+        return b"".join(
+            self.added[piece] if n % 2 else b"".join(map(self.__getitem__, self.words_of(piece)))
+            for n, piece in enumerate(pieces)
+        )
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[tuple[str, bool], WordIds] = {}
 
 
-def encoder_of(path: str) -> WordIds:
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
-    return _encoders[path]
+def encoder_of(path: str, special_as_text: bool) -> WordIds:
+    key = path, special_as_text
+    if key not in _encoders:
+        _encoders[key] = WordIds(path, special_as_text)
+    return _encoders[key]
 
 
-def segments(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> DataFrame:
+def segments(
+    docs: DataFrame,
+    tokenizer_path: str,
+    end_id: int = END_ID,
+    segment_ids: int = SEGMENT_IDS,
+    special_as_text: bool = False,
+) -> DataFrame:
     """Segments of the table, a part for each range of doc_id."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, end = encoder_of(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer_path, special_as_text), np.array([end_id], "<u4").tobytes()
         number, first, size = 0, 0, 0
         docs_held: list[dict] = []
         ids_held: list[bytes] = []
@@ -249,12 +286,18 @@ def segments(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, segment
     return ordered.mapInArrow(code, _SEGMENT_SQL)
 
 
-def write_codes(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> str:
+def write_codes(
+    docs: DataFrame,
+    tokenizer_path: str,
+    folder: str | None = None,
+    end_id: int = END_ID,
+    special_as_text: bool = False,
+) -> str:
     """Write the codes of all documents; returns their folder."""
     spark = docs.sparkSession
     target = folder or f"{shared_folder(spark)}/token-codes-{uuid.uuid4().hex}"
     # Level bytes are addressed as they are, so they are not compressed again.
-    segments(docs, tokenizer_path, end_id).write.option("compression", "none").parquet(f"{target}/segments")
+    segments(docs, tokenizer_path, end_id, special_as_text=special_as_text).write.option("compression", "none").parquet(f"{target}/segments")
     totals = spark.read.parquet(f"{target}/segments").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     before = F.sum("n_ids").over(Window.orderBy("part")) - F.col("n_ids")
     totals.select("part", before.alias("before")).coalesce(1).write.parquet(f"{target}/parts")

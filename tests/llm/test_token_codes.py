@@ -63,6 +63,22 @@ def test_letters_composed_in_lower_case_only(library):
         assert np.frombuffer(words.encode(text), "<u4").tolist() == expected, ascii(text)
 
 
+QUOTED = [
+    "a <|endoftext|> b", "<|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|> <|startoftext|>", "x<|startoftext|>Y É<|endoftext|>\u0301",
+    "<|endoftext|><|endoftext|>", "<|endoftext|", "J\u030c<|endoftext|>J\u030c", "no\n<|startoftext|>THE<|endoftext|>, end",
+]
+
+
+def test_special_tokens_as_in_the_unmodified_library(spark, documents):
+    plain = Tokenizer.from_file(PATH)
+    texts = [*ODD, *LOWER_ONLY, *QUOTED]
+    assert plain.encode(QUOTED[0], add_special_tokens=False).ids == [320, 49407, 321]
+    folder = token_codes.write_codes(documents(*texts), PATH)
+    for row in token_codes.read_documents(spark, folder).collect():
+        text = texts[row.doc_id]
+        assert list(row.ids) == [*plain.encode(text, add_special_tokens=False).ids, token_codes.END_ID], ascii(text)
+
+
 def test_written_and_read_back(spark, documents, library):
     texts = {3: LONG, 1: "Hello World", 7: "", 5: None, 2: "Hello World", -4: "before all"}
     docs = documents(*texts.items(), (1, "same id"), (None, "no id"), extra=CLASHING)
