@@ -15,7 +15,8 @@ the test hashes are marked in a bitmap whose size is bounded by ``BITMAP_BITS``
 most, whatever the benchmark. A full bitmap lets more pass, never less, and the join
 decides. Only fingerprints that pass carry their words.
 
-Null text has no words; an item without words has no window. Verdicts are per row, so
+Null text has no words; an item without words has no window. The words of an item
+without an id count like any other's; only the list of ids does not name it. Verdicts are per row, so
 repeated ids or rows are judged each. Extra columns are not looked at by
 :func:`contamination` and pass through :func:`clean_documents`.
 """
@@ -278,7 +279,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     hit = by_run.groupBy("row").agg(covered["n"].alias("n_hit"))
     named = runs.select("row", F.explode("items").alias("item")).distinct()
     named = named.groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    found = prints.select("row", "doc_id", "n_words").join(hit.join(named, "row"), "row", "left")
+    found = prints.select("row", "doc_id", "n_words").join(hit.join(named, "row", "left"), "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return found.select(
         "row",

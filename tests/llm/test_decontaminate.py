@@ -79,6 +79,23 @@ def test_clean_documents_keep_rows_and_columns(documents, items):
     assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 9, 9]
 
 
+def test_items_without_an_id_count(spark, documents):
+    alone, shared = ([f"{name}{n}" for n in range(20)] for name in ("alone", "shared"))
+    items = spark.createDataFrame(
+        [(None, " ".join(alone)), (None, "few words here"), (None, " ".join(shared)), (7, " ".join(shared))],
+        "item_id bigint, text string",
+    )
+    docs = documents(*(" ".join(w) for w in (alone, shared, alone + shared, ["x", *alone[:12]], ["few", "words", "here"])))
+    assert rows_of(decontaminate.judged(docs, items)) == {
+        0: (20, 20, [], True),
+        1: (20, 20, ["7"], True),
+        2: (40, 40, ["7"], True),
+        3: (13, 0, [], False),
+        4: (3, 3, [], True),
+    }
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, items).collect()] == [3]
+
+
 def test_empty_tables(documents, items):
     docs = documents("one")
     assert decontaminate.judged(docs.filter("false"), items).count() == 0
