@@ -13,6 +13,7 @@ from leaseload.llm import (
     chat,
     decontaminate,
     html_text,
+    merkle,
     pii,
     quality_net,
     quality_rules,
@@ -21,6 +22,7 @@ from leaseload.llm import (
     toxicity,
 )
 from leaseload.llm.common import table, written
+from leaseload.llm.oracles import SQL as SQL
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -131,6 +133,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *columns)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and the root that it leads to after lines were joined in some texts."""
+    joined_lines = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    claimed = F.when(joined_lines, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle.manifest(table(spark, sf_dir, "documents"), claimed)
+    return made.select(
+        "doc_id",
+        F.col("digest").alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_of(F.col("left"), F.col("right")), 256).alias("proof_sha256"),
+        merkle.folded(F.col("claimed"), F.col("left"), F.col("right")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -148,7 +165,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_net": op8_quality_net,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": pipeline,
 }
-
-SQL: dict[str, str] = {}
