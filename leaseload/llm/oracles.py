@@ -56,6 +56,41 @@ def merkle_sql(levels: int = 12, top_levels: int = 6) -> str:
         FROM c{step} c JOIN a{levels} u ON u.t = c.t CROSS JOIN b{top_levels} r"""
 
 
+COLLOCATIONS = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\n\x0b\x0c\r]')) AS piece
+        FROM documents),
+    words AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS ws FROM pieces),
+    grams AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+        FROM words, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    totals AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+    halves AS (
+        SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS before, array_to_string(ws[cut + 1:], ' ') AS after
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+    cuts AS (
+        SELECT h.lang, h.phrase, h.a, h.cut, l.a AS l, r.a AS r, (1000000 * h.a::HUGEINT * h.a) // (l.a::HUGEINT * r.a) AS score
+        FROM halves h
+        JOIN f l ON l.lang = h.lang AND l.phrase = h.before
+        JOIN f r ON r.lang = h.lang AND r.phrase = h.after),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inner_pairs AS (
+        SELECT lang, a, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM candidates WHERE k = 3),
+    covered AS (
+        SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN inner_pairs b
+        ON b.lang = s.lang AND b.phrase = s.phrase WHERE 100 * b.a >= 50 * s.a),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM lowest ANTI JOIN covered USING (lang, phrase))
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM placed JOIN totals USING (lang) WHERE rank <= 2000"""
+
 SQL: dict[str, str] = {
     "op12_merkle_manifest": merkle_sql(),
+    "op13_collocations": COLLOCATIONS,
 }

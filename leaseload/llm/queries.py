@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leaseload.llm import (
     bpe,
     chat,
+    collocations,
     decontaminate,
     html_text,
     merkle,
@@ -148,6 +149,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("example")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -166,5 +171,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
