@@ -21,6 +21,7 @@ from leaseload.llm import (
     simhash,
     token_codes,
     toxicity,
+    url_filter,
 )
 from leaseload.llm.common import table, written
 from leaseload.llm.oracles import SQL as SQL
@@ -134,6 +135,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).select("doc_id", *columns)
 
 
+# The rules of the check; a rule is a host and the beginning of a path.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.withColumn("words", F.array_join("words", " "))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof, and the root that it leads to after lines were joined in some texts."""
     joined_lines = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -170,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_net": op8_quality_net,
     "op9_pii": op9_pii,
     "op10_quality_rules": op10_quality_rules,
+    "op11_url_filter": op11_url_filter,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_collocations": op13_collocations,
     "pipeline": pipeline,
