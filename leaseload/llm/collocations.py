@@ -33,6 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,9 +53,9 @@ BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 LETTER_BASE = 0xC2B2AE3D27D4EB4F
 # Bytes of text that are worked on at a time.
-BATCH_BYTES = 4 << 20
-BITMAP_BITS = 1 << 27
-BITS_PER_PHRASE = 32
+BATCH_BYTES = 16 << 20
+BITMAP_BITS = 1 << 26
+BITS_PER_PHRASE = 16
 # A word that a hot part of a join stands for is spread over so many lanes.
 LANES = 16
 
@@ -63,11 +64,11 @@ _LOWER_AND_BREAKS = bytes.maketrans(_BREAKS + bytes(range(65, 91)), b"." * len(_
 BREAK = b"."
 
 
-def words_and_breaks(text: str | None) -> list[bytes]:
-    """Words of a text in order; ``BREAK``, which no word can be, ends a piece."""
-    spelled = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER_AND_BREAKS).replace(BREAK, b" . ")
+def words_and_breaks(text: str | None) -> bytes:
+    """A text with its words and ``BREAK``, which no word can be, between blanks; a break ends it."""
+    spelled = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER_AND_BREAKS)
     # What is left of white space: blanks and tabs only, line breaks are marks by now.
-    return spelled.split()
+    return spelled.replace(BREAK, b" . ") + b" ."
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -85,12 +86,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """Polynomial over the bytes of each word, all words at once by prefix sums."""
-    if not words:
+def word_hashes(words: pa.StringArray) -> np.ndarray:
+    """Polynomial over the bytes of each word, none empty, all words at once by prefix sums."""
+    if not len(words):
         return np.empty(0, np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    points = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
+    lengths = pc.binary_length(words).to_numpy().astype(np.int64)
+    points = np.frombuffer(b"".join(words.cast(pa.binary()).to_pylist()), np.uint8).astype(np.uint64) + np.uint64(1)
     starts = np.cumsum(lengths) - lengths
     place = np.arange(len(points)) - np.repeat(starts, lengths)
     sums = np.add.reduceat(points * _powers(LETTER_BASE, int(lengths.max()))[place], starts)
@@ -100,16 +101,21 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 class Batch:
     """Words of some texts of one language, numbered exactly, with prefix polynomials."""
 
-    def __init__(self, words: list[bytes], docs: list, text_of: np.ndarray) -> None:
+    def __init__(self, texts: list[bytes], docs: list) -> None:
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        self.vocabulary = coded.dictionary
+        ids = coded.indices.to_numpy().astype(np.int64)
         # ``docs`` has the id of each text, ``text_of`` the text each word is from.
-        self.words, self.docs, self.text_of = words, docs, text_of
-        number: dict[bytes, int] = {BREAK: 0}
-        self.ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        self.n_distinct = len(number)
-        hashes = word_hashes(list(number))[self.ids]
-        self.powers_back = _powers(UNBASE, len(words))
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(BASE, len(words))[:-1])])
-        self.whole = self.ids > 0
+        text_of = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(split).to_numpy())
+        there = pc.binary_length(self.vocabulary).to_numpy()[ids] > 0
+        self.docs, self.text_of, self.ids = docs, text_of[there], ids[there]
+        self.whole = self.ids != pc.index(self.vocabulary, BREAK.decode()).as_py()
+        # The empty string between blanks is no word; it gets some hash and no place.
+        filled = pc.if_else(pc.equal(self.vocabulary, ""), " ", self.vocabulary)
+        hashes = word_hashes(filled)[self.ids]
+        self.powers_back = _powers(UNBASE, len(self.ids))
+        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(BASE, len(self.ids))[:-1])])
 
     def fingerprints(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, fingerprints) of all phrases of ``k`` words within pieces."""
@@ -124,42 +130,37 @@ class Batch:
 
     def exact(self, at: np.ndarray, k: int) -> np.ndarray:
         """A number for each phrase, equal exactly if the phrases are."""
+        n = len(self.vocabulary)
         numbers = self.ids[at]
         for i in range(1, k):
-            if self.n_distinct ** 2 >= 1 << 62:
-                raise ValueError("batch too large")
-            _, numbers = np.unique(numbers, return_inverse=True)
-            numbers = numbers * self.n_distinct + self.ids[at + i]
+            if numbers.max(initial=0) >= (1 << 62) // n:
+                numbers = np.unique(numbers, return_inverse=True)[1]
+            numbers = numbers * n + self.ids[at + i]
         return numbers
 
-    def phrase(self, place: int, k: int) -> str:
-        return b" ".join(self.words[place : place + k]).decode("utf-8", "surrogatepass")
+    def phrases(self, at: np.ndarray, k: int) -> pa.Array:
+        parts = [self.vocabulary.take(pa.array(self.ids[at + i])) for i in range(k)]
+        return parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
 
 
 def batches_of(rows: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iterator[tuple[str, Batch]]:
     """Texts (columns doc_id, lang, text) by language, in batches of about ``limit`` bytes."""
-    held: dict[str, tuple[list[list[bytes]], list, int]] = {}
+    held: dict[str, tuple[list[bytes], list, int]] = {}
 
     def made(lang: str) -> tuple[str, Batch]:
-        parts, docs, _ = held.pop(lang)
-        text_of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        return lang, Batch([w for part in parts for w in part], docs, text_of)
+        return lang, Batch(*held.pop(lang)[:2])
 
     for batch in rows:
         for doc_id, lang, text in zip(*[batch[c].to_pylist() for c in ("doc_id", "lang", "text")]):
-            size, words = len(text or ""), words_and_breaks(text)
+            spelled = words_and_breaks(text)
             begin = 0
-            while begin < len(words):
-                end = len(words)
-                if size > limit:
-                    # A long text goes on in the next batch after the end of a piece.
-                    end = min(end, begin + limit // 8)
-                    while end < len(words) and words[end - 1] != BREAK:
-                        end += 1
-                parts, docs, so_far = held.get(lang, ([], [], 0))
-                parts.append([*words[begin:end], BREAK])
+            while begin < len(spelled):
+                # A long text goes on in the next batch after the end of a piece.
+                end = len(spelled) if len(spelled) <= limit else spelled.find(BREAK, min(begin + limit, len(spelled) - 1)) + 1
+                texts, docs, so_far = held.get(lang) or ([], [], 0)
+                texts.append(spelled[begin:end])
                 docs.append(doc_id)
-                held[lang] = (parts, docs, so_far + 16 + size * (end - begin) // len(words))
+                held[lang] = (texts, docs, so_far + end - begin)
                 if held[lang][2] >= limit:
                     yield made(lang)
                 begin = end
@@ -171,37 +172,37 @@ def batches_of(rows: Iterator[pa.RecordBatch], limit: int = BATCH_BYTES) -> Iter
 
 
 def language_seed(lang: str) -> np.uint64:
-    return word_hashes([lang.encode("utf-8", "surrogatepass") + b"\xff"])[0]
+    return word_hashes(pa.array([f"language {lang}"]))[0]
 
 
 class Marks:
     """Fingerprints marked in a bitmap; languages have fingerprints of their own."""
 
     def __init__(self, table: bytes) -> None:
-        self.table = np.frombuffer(table, np.uint32)
-        self.shift = np.uint64(64 - (len(self.table) * 32).bit_length() + 1)
+        self.table = np.frombuffer(table, np.uint64)
+        self.shift = np.uint64(64 - (len(self.table) * 64).bit_length() + 1)
 
     def hold(self, fingerprints: np.ndarray) -> np.ndarray:
         slots = fingerprints >> self.shift
-        return (self.table[slots >> np.uint64(5)] >> (slots & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+        return (self.table[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) > 0
 
 
 def marks_of(frequent: DataFrame) -> bytes:
-    """Bitmap of the column ``fp``; the driver gets at most ``BITMAP_BITS / 8`` bytes."""
+    """Bitmap of the column ``fp``; the driver gets at most a quarter of ``BITMAP_BITS`` as bytes."""
     n = frequent.count()
     bits = 1 << 10
     while bits < min(BITMAP_BITS, n * BITS_PER_PHRASE):
         bits <<= 1
     slot = F.shiftrightunsigned("fp", 64 - (bits.bit_length() - 1))
-    placed = frequent.select(F.shiftright(slot, 5).alias("word"), slot.bitwiseAND(F.lit(31)).cast("int").alias("bit"))
+    placed = frequent.select(F.shiftright(slot, 6).alias("word"), slot.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     words = placed.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    table = np.zeros(bits // 32, np.uint32)
+    table = np.zeros(bits // 64, np.int64)
     for batch in words.toArrow().to_batches():
         table[batch["word"].to_numpy()] = batch["bits"].to_numpy()
     return table.tobytes()
 
 
-_COUNTED = "lang string, fp long, n long"
+_COUNTED = "fp long, n long"
 
 
 def _with_parts(batch: Batch, seed: np.uint64, k: int, marks: Marks) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +216,9 @@ def _with_parts(batch: Batch, seed: np.uint64, k: int, marks: Marks) -> tuple[np
 
 
 def counted(texts: DataFrame, k: int, marks: Broadcast | None = None) -> DataFrame:
-    """(lang, fp, n): fingerprints of ``k`` words and their counts, of all phrases or, with
-    ``marks``, of those whose parts of ``k - 1`` words are marked."""
+    """(fp, n): fingerprints of ``k`` words and their counts, of all phrases or, with
+    ``marks``, of those whose parts of ``k - 1`` words are marked. Languages differ in all
+    their fingerprints, so they need no column here."""
 
     def over(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None if marks is None else Marks(marks.value)
@@ -224,41 +226,35 @@ def counted(texts: DataFrame, k: int, marks: Broadcast | None = None) -> DataFra
             seed = language_seed(lang)
             fps = batch.fingerprints(k)[1] if held is None else _with_parts(batch, seed, k, held)[1]
             distinct, n = np.unique(fps, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [_repeated(lang, len(n)), pa.array((distinct ^ seed).view(np.int64)), pa.array(n)], names=["lang", "fp", "n"]
-            )
-
-    return texts.mapInArrow(over, _COUNTED).groupBy("lang", "fp").agg(F.sum("n").alias("n"))
-
+            yield pa.RecordBatch.from_arrays([pa.array((distinct ^ seed).view(np.int64)), pa.array(n)], names=["fp", "n"])
 
-def _repeated(value: str, n: int) -> pa.Array:
-    return pa.array([value], pa.string()).take(pa.array(np.zeros(n, np.int32)))
+    return texts.mapInArrow(over, _COUNTED).groupBy("fp").agg(F.sum("n").alias("n"))
 
 
 def verified(texts: DataFrame, marks: dict[int, Broadcast]) -> DataFrame:
-    """(lang, k, phrase, n, example): marked phrases as text, exact counts, a document with each."""
+    """(lang, k, phrase, n, example): marked phrases as text, exact counts, a document with
+    each; and for ``k`` 0 the number of all words of a language, without a phrase."""
     schema = f"lang string, k int, phrase string, n long, example {texts.schema['doc_id'].dataType.simpleString()}"
 
     def over(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {k: Marks(m.value) for k, m in marks.items()}
         kinds: list[pa.DataType] = []
         for lang, batch in batches_of(_typed(rows, kinds)):
-            kind, seed = kinds[0], language_seed(lang)
+            seed = language_seed(lang)
+            docs = pa.array(batch.docs, kinds[0])
+
+            def made(k: int, phrases: pa.Array, n: np.ndarray, example: pa.Array) -> pa.RecordBatch:
+                of_lang = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int32)))
+                columns = [of_lang, pa.array(np.full(len(n), k, np.int32)), phrases, pa.array(n), example]
+                return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n", "example"])
+
+            yield made(0, pa.array([""]), np.array([batch.whole.sum()]), pa.nulls(1, kinds[0]))
             for k, own in held.items():
                 at, fps = batch.fingerprints(k)
                 at = at[own.hold(fps ^ seed)]
                 _, first, n = np.unique(batch.exact(at, k), return_index=True, return_counts=True)
                 pointers = at[first]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _repeated(lang, len(n)),
-                        pa.array(np.full(len(n), k, np.int32)),
-                        pa.array([batch.phrase(p, k) for p in pointers.tolist()], pa.string()),
-                        pa.array(n),
-                        pa.array([batch.docs[i] for i in batch.text_of[pointers].tolist()], kind),
-                    ],
-                    names=["lang", "k", "phrase", "n", "example"],
-                )
+                yield made(k, batch.phrases(pointers, k), n, docs.take(pa.array(batch.text_of[pointers])))
 
     found = texts.mapInArrow(over, schema)
     return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"), F.min("example").alias("example"))
@@ -278,16 +274,11 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int
     context = docs.sparkSession.sparkContext
     texts = docs.select("doc_id", F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), "text").filter("text <> ''")
     marks: dict[int, Broadcast] = {}
-    totals = None
     for k in range(1, max_words + 1):
-        found = counted(texts, k, marks.get(k - 1))
-        if totals is None:
-            found = written(found, "collocation-words")
-            totals = written(found.groupBy("lang").agg(F.sum("n").alias("total")), "collocation-totals")
-        frequent = found.filter(F.col("n") >= min_count).select("fp")
+        frequent = counted(texts, k, marks.get(k - 1)).filter(F.col("n") >= min_count).select("fp")
         marks[k] = context.broadcast(marks_of(written(frequent, "collocation-marks")))
-    phrases = verified(texts, marks).filter(F.col("n") >= min_count)
-    return written(phrases, "collocation-phrases"), totals
+    found = written(verified(texts, marks).filter((F.col("n") >= min_count) | (F.col("k") == 0)), "collocation-phrases")
+    return found.filter("k > 0"), found.filter("k = 0").select("lang", F.col("n").alias("total"))
 
 
 def _words(phrase: str, begin: int, n: int) -> Column:
