@@ -52,6 +52,14 @@ def money(x: str, scale: int = 2) -> str:
     return text(f"CAST({x} AS DECIMAL(18,{scale}))")
 
 
+def huge(key: str) -> str:
+    """Amounts that a double cannot hold to the cent, or that no bigint holds in cents."""
+    return (
+        f"CASE {key} % 4 WHEN 0 THEN '99999999999999999999' WHEN 1 THEN '1e30' WHEN 2 THEN '90071992547409.93' "
+        "ELSE '90071992547409.95' END"
+    )
+
+
 LINE_ID = (
     "(l_orderkey * 100000 + l_linenumber * 10000 "
     "+ (l_partkey * 31 + year(l_shipdate) * 366 + dayofyear(l_shipdate)) % 10000)"
@@ -159,7 +167,8 @@ ADAPTERS: dict[str, str] = {
         SELECT CASE WHEN l_tax = 0.08 AND l_discount = 0.1 THEN ' ' ELSE {text(LINE_ID)} || '.0' END AS CHARGEID,
                CASE WHEN l_tax = 0.07 AND l_discount = 0.0 THEN 'n/k' ELSE {text('l_linenumber')} END AS CHARGEDESCID,
                {text('l_orderkey')} || '.0' AS LEDGERID,
-               CASE WHEN l_discount = 0.1 THEN '-' ELSE '' END || {money('l_extendedprice * (1 - l_discount)', 4)} AS DCAMT,
+               CASE WHEN l_tax = 0.06 AND l_discount = 0.06 THEN {huge('l_orderkey')}
+                    ELSE CASE WHEN l_discount = 0.1 THEN '-' ELSE '' END || {money('l_extendedprice * (1 - l_discount)', 4)} END AS DCAMT,
                CASE WHEN l_linenumber = 2 THEN 'soon' ELSE {us('l_shipdate')} || {NOON} END AS DCHGSTRT,
                CASE WHEN l_linenumber IN (2, 3) AND l_tax < 0.02 THEN NULL
                     ELSE {iso('l_shipdate')} || ' 8:05:09.25' END AS DCREATED,
@@ -173,7 +182,7 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN l_tax = 0.08 AND l_discount = 0.09 THEN ' ' ELSE {text('l_orderkey')} || '.0' END AS LEDGERID,
                {text(LINE_ID)} AS CHARGEID,
                CASE WHEN l_tax = 0.07 AND l_discount = 0.05 THEN 'cash' ELSE {text('99 + l_linenumber')} || '.0' END AS PMTTYPEID,
-               CASE WHEN l_discount = 0.0 THEN '0.00'
+               CASE WHEN l_discount = 0.0 THEN '0.00' WHEN l_tax = 0.06 AND l_discount = 0.06 THEN {huge('l_orderkey')}
                     ELSE CASE WHEN l_discount = 0.1 THEN '-' ELSE '' END || {money('l_extendedprice * l_discount', 4)} END AS DCPMTAMT,
                CASE l_linenumber WHEN 1 THEN {us('l_shipdate')} WHEN 2 THEN {iso('l_shipdate')} || {NOON}
                     WHEN 3 THEN {us('l_shipdate', '-')} WHEN 4 THEN {us('l_shipdate')} || ' 7:45'
@@ -190,7 +199,8 @@ ADAPTERS: dict[str, str] = {
         SELECT CASE WHEN l_tax = 0.05 AND l_linenumber = 2 THEN 'C' || {text(LINE_ID)} ELSE {text(LINE_ID)} || '.0' END AS CREDITID,
                CASE WHEN l_tax = 0.08 AND l_discount = 0.03 THEN ' '
                     WHEN l_tax = 0.08 AND l_discount = 0.04 THEN 'void' ELSE {text('l_orderkey')} END AS LEDGERID,
-               CASE WHEN l_returnflag = 'R' THEN '-' ELSE '' END || {money('l_extendedprice * l_discount', 4)} AS DCCREDITAMT,
+               CASE WHEN l_tax = 0.04 AND l_discount = 0.06 THEN {huge('l_orderkey')}
+                    ELSE CASE WHEN l_returnflag = 'R' THEN '-' ELSE '' END || {money('l_extendedprice * l_discount', 4)} END AS DCCREDITAMT,
                CASE WHEN l_tax = 0.06 THEN '1/1/1900' ELSE {us('l_shipdate')} END AS DCREDIT,
                CASE WHEN l_tax = 0.03 THEN '1900-01-01' ELSE {iso('l_shipdate')} || 'T10:11:12' END AS DCREATED,
                CASE l_linenumber WHEN 1 THEN 'Waived Current Late Fee 1. ' WHEN 2 THEN 'waived current late fee 2.'
@@ -213,7 +223,8 @@ ADAPTERS: dict[str, str] = {
     "x_receipts": f"""
         SELECT {text(LINE_ID)} AS RECEIPTID,
                CASE WHEN l_tax = 0.08 AND l_discount = 0.01 THEN 'none so far' ELSE {text('l_partkey')} || '.0' END AS TENANTID,
-               CASE WHEN l_discount = 0.0 THEN NULL ELSE {money('l_extendedprice - 20000')} END AS DCAMT,
+               CASE WHEN l_discount = 0.0 THEN NULL WHEN l_tax = 0.06 AND l_discount = 0.06 THEN {huge('l_orderkey')}
+                    ELSE {money('l_extendedprice - 20000')} END AS DCAMT,
                CASE WHEN l_linenumber = 6 THEN '' ELSE {us('l_shipdate')} || ' 1:02:03 AM' END AS DRCPT,
                CASE WHEN l_tax = 0.08 AND l_discount = 0.02 THEN NULL ELSE ' ' || {text('l_orderkey')} END AS IRECEIPTNUM,
                CASE WHEN l_tax = 0.07 AND l_discount = 0.02 THEN {text(PAY_ID)} || '77' ELSE {text(PAY_ID)} END AS PAYMENTID,
@@ -241,6 +252,7 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN o_orderpriority = '3-MEDIUM' THEN {us('o_orderdate - INTERVAL 5 DAY')}
                     WHEN o_orderpriority = '5-LOW' THEN {us('o_orderdate + INTERVAL 85 DAY')} END AS DSCHEDOUT,
                CASE WHEN o_orderkey % 71 = 0 THEN NULL WHEN o_orderkey % 73 = 0 THEN 'free'
+                    WHEN o_orderkey % 79 = 0 THEN {huge('o_orderkey')}
                     ELSE '$' || {dollars(TOTAL_CENTS, 397)} END AS DCRENT,
                CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') THEN '0'
                     ELSE {dollars(TOTAL_CENTS, 401)} END AS DCSCHEDRENT,
@@ -338,7 +350,8 @@ ADAPTERS: dict[str, str] = {
                CASE WHEN o_orderstatus = 'O' THEN '27001' END AS ZipCode, o_orderkey AS _o1
         FROM {{orders}}""",
     "x_balances": f"""
-        SELECT {text('c_custkey')} AS TENANTID, {money('c_acctbal')} AS DCRENTBAL,
+        SELECT {text('c_custkey')} AS TENANTID,
+               CASE WHEN c_custkey % 37 = 0 THEN {huge('c_custkey')} ELSE {money('c_acctbal')} END AS DCRENTBAL,
                CASE WHEN c_nationkey > 5 THEN '10.005' END AS DCLATEFEE1BAL, '1' AS DCLATEFEE2BAL, NULL AS DCLATEFEE3BAL,
                'x' AS DCLATEFEE4BAL, '' AS DCLATEFEE5BAL, '2.5' AS DCNSFBAL,
                CASE WHEN c_nationkey = 9 THEN '-9000' END AS DCADMINFEEBAL, '3' AS DCRECCHG8BAL,
@@ -388,6 +401,32 @@ ADAPTERS: dict[str, str] = {
         FROM {{events}}""",
 }
 
+# The stored side of several plans is a part of all orders; as the subject of a query they are whole.
+for _name in ("leases", "links", "profiles"):
+    ADAPTERS[f"s_{_name}"] = ADAPTERS[f"t_{_name}"].rsplit("WHERE", 1)[0]
+
+# One day in the spellings people and machines use, by the order's key.
+_MONTH3 = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(o_orderdate) - 2, 3)"
+_MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "CASE month(o_orderdate) " + " ".join(f"WHEN {n} THEN '{m}'" for n, m in enumerate(_MONTHS, 1)) + " END"
+_DAY, _YEAR = text("day(o_orderdate)"), text("year(o_orderdate)")
+_HOUR = "(1 + o_orderkey % 12)"
+ADAPTERS["x_spelled"] = f"""
+    SELECT CASE o_orderkey % 12
+               WHEN 0 THEN {_MONTH3} || ' ' || {_DAY} || ', ' || {_YEAR}
+               WHEN 1 THEN {_DAY} || ' ' || {_MONTH} || ' ' || {_YEAR}
+               WHEN 2 THEN {_DAY} || ' ' || {_MONTH} || ' ' || {_YEAR} || ' ' || {text(_HOUR)} || ':04 PM'
+               WHEN 3 THEN {iso('o_orderdate')} || 'T0' || {text('o_orderkey % 10')} || ':05:06+00:00'
+               WHEN 4 THEN {iso('o_orderdate')} || ' 11:05:06.25-0530'
+               WHEN 5 THEN {pad('day(o_orderdate)')} || '-' || upper({_MONTH3}) || '-' || {_YEAR}
+               WHEN 6 THEN {_YEAR} || '/' || {text('month(o_orderdate)')} || '/' || {_DAY}
+               WHEN 7 THEN replace({iso('o_orderdate')}, '-', '')
+               WHEN 8 THEN {us('o_orderdate')} || ' ' || {text(_HOUR)} || ' am'
+               WHEN 9 THEN 'Monday, ' || {_MONTH} || ' ' || {_DAY} || 'th, ' || {_YEAR}
+               WHEN 10 THEN {_MONTH} || ' soon' ELSE 'n/a ' || {_YEAR} END AS SPELLED,
+           CAST(o_orderdate AS DATE) AS day, o_orderkey AS _o1
+    FROM {{orders}}"""
+
 _UPPER_EXPORTS = re.compile(r"^_o[0-9]+$")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contract.registry import (
     CUSTOMERS, LEDGERS, NOW_SQL, PARAMS, TODAY_SQL, UNITS, Tables, accepted_sql, big, cents, check, clean,
-    counters_sql, day, empty, free_at, idt, num, paid_at, rejects_sql, ts, vc,
+    counters_sql, day, empty, free_at, idt, num, paid_at, rejects_sql, too_large, ts, vc,
 )
 from leaseload.operators.load import assign_ids
 from leaseload.operators.outcome import Outcome
@@ -37,13 +37,14 @@ PAYMENT_SQL = f"""{LEDGERS}, {CUSTOMERS},
                  {paid_at('DCREATED')} AS created FROM x_payments x),
     c AS (SELECT p.*, customers.customer_id,
         CASE WHEN ledger IS NULL THEN 'no_ledger' WHEN customers.customer_id IS NULL THEN 'no_customer'
-             WHEN COALESCE({num('DCPMTAMT')}, 0) = 0 THEN 'zero_amount' WHEN NOT {empty('DDELETED')} THEN 'deleted'
+             WHEN COALESCE({num('DCPMTAMT')}, 0) = 0 THEN 'zero_amount' WHEN {too_large('DCPMTAMT')} THEN 'amount_out_of_range' WHEN NOT {empty('DDELETED')} THEN 'deleted'
              WHEN ky IS NULL THEN 'no_payment_id' END AS b,
         CASE WHEN ky IN (SELECT id FROM credited) THEN 'credit'
              WHEN ky IN (SELECT external_id FROM t_payments_loaded) THEN 'duplicate' END AS k,
         CASE WHEN paid IS NULL AND created IS NULL THEN 'no_date' WHEN {num('PMTTYPEID')} IS NULL THEN 'bad_method' END AS a
         FROM p LEFT JOIN ledgers ON ledger = ledgers.ledger_id LEFT JOIN customers ON ledgers.tenant_id = customers.tenant_id)"""
-PAYMENT_OUTCOMES = {"no_ledger": "silent", "no_payment_id": "silent", "no_date": "error", "bad_method": "error"}
+TOO_LARGE = {"amount_out_of_range": "error"}
+PAYMENT_OUTCOMES = {"no_ledger": "silent", "no_payment_id": "silent", "no_date": "error", "bad_method": "error", **TOO_LARGE}
 
 
 @check("payments_load", PAYMENT_ADAPTERS, accepted_sql(PAYMENT_SQL, f"""
@@ -94,7 +95,8 @@ CHARGE_SQL = f"""{LEDGERS}, {CUSTOMERS}, {UNITS},
           FROM x_charges x WHERE NOT {empty('CHARGEID')}),
     c AS (SELECT p.*, customers.customer_id, units.unit_id, types.charge_type_id,
         CASE WHEN NOT {empty('DDELETED')} THEN 'deleted' WHEN descr IS NULL OR ledger IS NULL THEN 'bad_ids'
-             WHEN types.charge_type_id IS NULL THEN 'no_charge_type' WHEN customers.customer_id IS NULL THEN 'no_customer' END AS b,
+             WHEN types.charge_type_id IS NULL THEN 'no_charge_type' WHEN customers.customer_id IS NULL THEN 'no_customer'
+             WHEN {too_large('DCAMT')} THEN 'amount_out_of_range' END AS b,
         CASE WHEN ky IN (SELECT external_charge_id FROM t_charges_loaded) THEN 'duplicate' END AS k,
         CAST(NULL AS VARCHAR) AS a
         FROM p LEFT JOIN types ON descr = types.desc_id LEFT JOIN ledgers ON ledger = ledgers.ledger_id
@@ -114,7 +116,7 @@ def charges_load(t: Tables) -> DataFrame:
     )
 
 
-@check("charges_counters", CHARGE_ADAPTERS, counters_sql(CHARGE_SQL, {"bad_ids": "error"}))
+@check("charges_counters", CHARGE_ADAPTERS, counters_sql(CHARGE_SQL, {"bad_ids": "error", **TOO_LARGE}))
 def charges_counters(t: Tables) -> DataFrame:
     return charges(t).counters
 
@@ -156,6 +158,7 @@ CREDIT_SQL = f"""{LEDGERS}, {CUSTOMERS}, {UNITS},
                       WHEN 'reservation fee' THEN 10002 END AS kind FROM x_credits x),
     c AS (SELECT p.*, customers.customer_id, units.unit_id,
         CASE WHEN COALESCE({num('DCCREDITAMT')}, 0) <= 0 THEN 'amount_not_positive'
+             WHEN {too_large('DCCREDITAMT')} THEN 'amount_out_of_range'
              WHEN lower(trim(BNONPOSTING)) = 'true' THEN 'non_posting' WHEN NOT {empty('DDELETED')} THEN 'deleted'
              WHEN {empty('LEDGERID')} THEN 'no_ledger' END AS b,
         CASE WHEN ky IN (SELECT external_charge_id FROM t_charges_loaded) THEN 'duplicate' END AS k,
@@ -176,7 +179,7 @@ def credits_load(t: Tables) -> DataFrame:
     )
 
 
-@check("credits_counters", CREDIT_ADAPTERS, counters_sql(CREDIT_SQL, {"bad_ledger": "error"}))
+@check("credits_counters", CREDIT_ADAPTERS, counters_sql(CREDIT_SQL, {"bad_ledger": "error", **TOO_LARGE}))
 def credits_counters(t: Tables) -> DataFrame:
     return credits(t).counters
 
@@ -212,7 +215,7 @@ RECEIPT_SQL = f"""{CUSTOMERS},
                  'SL-' || trim(IRECEIPTNUM) || '-' || CAST({big('PAYMENTID')} AS VARCHAR) AS ky FROM x_receipts x),
     c AS (SELECT p.*, customers.customer_id, s.payment_id, s.payment_date, NULLIF(s.method, '') AS method,
         CASE WHEN payment IS NULL OR tenant IS NULL THEN 'bad_ids' WHEN COALESCE({num('DCAMT')}, 0) = 0 THEN 'zero_amount'
-             WHEN ky IS NULL THEN 'no_receipt_number' END AS b,
+             WHEN {too_large('DCAMT')} THEN 'amount_out_of_range' WHEN ky IS NULL THEN 'no_receipt_number' END AS b,
         CASE WHEN ky IN (SELECT receipt_number FROM t_receipts) THEN 'duplicate' END AS k,
         CASE WHEN s.payment_id IS NULL THEN 'no_payment' WHEN customers.customer_id IS NULL THEN 'no_customer' END AS a
         FROM p LEFT JOIN stored_payments s ON CAST(payment AS VARCHAR) = s.external_payment_id
@@ -229,7 +232,7 @@ def receipts_load(t: Tables) -> DataFrame:
     )
 
 
-@check("receipts_counters", RECEIPT_ADAPTERS, counters_sql(RECEIPT_SQL, {"bad_ids": "error"}))
+@check("receipts_counters", RECEIPT_ADAPTERS, counters_sql(RECEIPT_SQL, {"bad_ids": "error", **TOO_LARGE}))
 def receipts_counters(t: Tables) -> DataFrame:
     return receipts(t).counters
 
@@ -345,13 +348,12 @@ def payment_invoice_link_open_only(t: Tables) -> DataFrame:
     return link_payments(t("t_payments"), pairs, t("t_invoices"), only_unlinked=True).select("id", "invoice_id")
 
 
-@check("invoice_surrogate_ids", INVOICE_ADAPTERS, f"""WITH {INVOICE_SQL},
-    lanes AS (SELECT ky, CAST('0x' || substr(md5(ky), 1, 8) AS BIGINT) % 64 AS lane FROM c WHERE k IS NULL AND a IS NULL)
-    SELECT ky AS external_invoice_id, (SELECT max(id) FROM t_invoices) + 1
-           + (row_number() OVER (PARTITION BY lane ORDER BY ky) - 1) * 64 + lane AS id FROM lanes""")
+@check("invoice_surrogate_ids", INVOICE_ADAPTERS, f"""WITH {INVOICE_SQL}
+    SELECT ky AS external_invoice_id, (SELECT max(id) FROM t_invoices) + row_number() OVER (ORDER BY ky) AS id
+    FROM c WHERE k IS NULL AND a IS NULL""")
 def invoice_surrogate_ids(t: Tables) -> DataFrame:
     new = invoices(t).accepted.select("external_invoice_id")
-    return assign_ids(new, t("t_invoices"), "external_invoice_id", lanes=64)
+    return assign_ids(new, t("t_invoices"), "external_invoice_id")
 
 
 # -- stored invoices ------------------------------------------------------------

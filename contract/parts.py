@@ -158,12 +158,12 @@ def lookup_payment_details(t: Tables) -> DataFrame:
     return payment_lookup(t("t_payments"), t("t_methods"))
 
 
-@check("profile_lookup_null_safe", ("t_profiles",), """
-    WITH k AS (SELECT customer_id, card_last4, card_exp_month, card_exp_year, max(id) AS profile_id FROM t_profiles GROUP BY ALL)
-    SELECT p.id, k.profile_id FROM t_profiles p JOIN k ON p.customer_id = k.customer_id AND p.card_last4 = k.card_last4
+@check("profile_lookup_null_safe", ("s_profiles",), """
+    WITH k AS (SELECT customer_id, card_last4, card_exp_month, card_exp_year, max(id) AS profile_id FROM s_profiles GROUP BY ALL)
+    SELECT p.id, k.profile_id FROM s_profiles p JOIN k ON p.customer_id = k.customer_id AND p.card_last4 = k.card_last4
         AND p.card_exp_month IS NOT DISTINCT FROM k.card_exp_month AND p.card_exp_year IS NOT DISTINCT FROM k.card_exp_year""")
 def profile_lookup_null_safe(t: Tables) -> DataFrame:
-    profiles = with_profile_key(t("t_profiles"))
+    profiles = with_profile_key(t("s_profiles"))
     newest = last_wins(profiles.select("profile_key", F.col("id").alias("profile_id")), ["profile_key"], ["profile_id"], F.col("profile_id"))
     return attach(profiles, newest, [("profile_key", "profile_key")]).select("id", "profile_id")
 
@@ -191,8 +191,8 @@ def existing_key_flag(t: Tables) -> DataFrame:
     return flagged.groupBy("stored").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("amount_in_cents").alias("cents"))
 
 
-@check("composite_key_anti_join", ("t_leases", "t_links"), """
-    SELECT id FROM t_leases l WHERE NOT EXISTS (SELECT 1 FROM t_links k WHERE k.customer_id = l.customer_id AND k.unit_id = l.unit_id
+@check("composite_key_anti_join", ("s_leases", "t_links"), """
+    SELECT id FROM s_leases l WHERE NOT EXISTS (SELECT 1 FROM t_links k WHERE k.customer_id = l.customer_id AND k.unit_id = l.unit_id
         AND k.lease_date = l.move_in_date AND k.move_out_date IS NOT NULL AND l.move_out_date =
             CASE WHEN k.unit_id % 3 = 0 THEN CAST(k.move_out_date + INTERVAL 1 DAY AS DATE) ELSE k.move_out_date END)""")
 def composite_key_anti_join(t: Tables) -> DataFrame:
@@ -200,13 +200,13 @@ def composite_key_anti_join(t: Tables) -> DataFrame:
     later = F.when(F.col("unit_id") % 3 == 0, F.date_add("move_out_date", 1)).otherwise(F.col("move_out_date"))
     ended = t("t_links").filter("move_out_date IS NOT NULL").withColumn("move_out_date", later)
     on = [("customer_id", "customer_id"), ("unit_id", "unit_id"), ("move_in_date", "lease_date"), ("move_out_date", "move_out_date")]
-    return without_known(t("t_leases"), ended, on, null_safe=True).select("id")
+    return without_known(t("s_leases"), ended, on, null_safe=True).select("id")
 
 
-@check("occupied_units", ("t_units", "t_leases"), """
-    SELECT unit_number FROM t_units WHERE id IN (SELECT unit_id FROM t_leases WHERE status = 'ACTIVE')""")
+@check("occupied_units", ("t_units", "s_leases"), """
+    SELECT unit_number FROM t_units WHERE id IN (SELECT unit_id FROM s_leases WHERE status = 'ACTIVE')""")
 def occupied_units(t: Tables) -> DataFrame:
-    return only_known(t("t_units"), t("t_leases").filter("status = 'ACTIVE'"), [("id", "unit_id")]).select("unit_number")
+    return only_known(t("t_units"), t("s_leases").filter("status = 'ACTIVE'"), [("id", "unit_id")]).select("unit_number")
 
 
 # -- winners and loads --------------------------------------------------------------
@@ -252,12 +252,12 @@ def insert_null_keys_never_conflict(t: Tables) -> DataFrame:
     )
 
 
-@check("insert_conditional_key", ("t_leases",), """
-    SELECT id FROM (SELECT id, status, unit_id, row_number() OVER (PARTITION BY status, unit_id ORDER BY id) AS rn FROM t_leases) r
+@check("insert_conditional_key", ("s_leases",), """
+    SELECT id FROM (SELECT id, status, unit_id, row_number() OVER (PARTITION BY status, unit_id ORDER BY id) AS rn FROM s_leases) r
     WHERE status <> 'ACTIVE' OR (rn = 1 AND NOT EXISTS (
-        SELECT 1 FROM t_leases s WHERE s.id % 20 = 0 AND s.status = 'ACTIVE' AND s.unit_id = r.unit_id))""")
+        SELECT 1 FROM s_leases s WHERE s.id % 20 = 0 AND s.status = 'ACTIVE' AND s.unit_id = r.unit_id))""")
 def insert_conditional_key(t: Tables) -> DataFrame:
-    leases = t("t_leases")
+    leases = t("s_leases")
     return new_rows(leases.filter("id % 20 = 0"), leases, ["unit_id"], order="id", key_filter=F.col("status") == "ACTIVE").select("id")
 
 

@@ -91,13 +91,27 @@ def idt(x: str) -> str:
     return f"COALESCE(CAST({big(x)} AS VARCHAR), NULLIF({_digits(x)}, ''), NULLIF(trim({x}), ''))"
 
 
+def _cents(plain: str) -> str:
+    """Cents of a numeric text, null beyond a bigint; large amounts have two places at most in the data."""
+    amount = f"TRY_CAST({plain} AS DOUBLE)"
+    return (
+        f"CASE WHEN abs({amount}) < 9e13 THEN TRY_CAST(round_even({amount} * 100, 0) AS BIGINT) "
+        f"ELSE TRY_CAST(TRY_CAST({plain} AS DECIMAL(30,2)) * 100 AS BIGINT) END"
+    )
+
+
 def cents(x: str) -> str:
-    return f"CAST(round_even({num(x)} * 100, 0) AS BIGINT)"
+    return _cents(f"trim({x})")
 
 
 def money_cents(x: str) -> str:
     plain = f"replace(ltrim(trim({x}), '$'), ',', '')"
-    return f"COALESCE(CAST(round_even(TRY_CAST({plain} AS DOUBLE) * 100, 0) AS BIGINT), 0)"
+    return f"CASE WHEN TRY_CAST({plain} AS DOUBLE) IS NULL THEN 0 ELSE {_cents(plain)} END"
+
+
+def too_large(x: str) -> str:
+    """A number whose cents do not fit."""
+    return f"({num(x)} IS NOT NULL AND {cents(x)} IS NULL)"
 
 
 def clean(x: str) -> str:

@@ -28,7 +28,7 @@ def told(outcome: Outcome) -> DataFrame:
     return outcome.rejects.select("row_id", "outcome", "reason")
 
 
-@check("receipts_rejects", money.RECEIPT_ADAPTERS, told_sql(money.RECEIPT_SQL, "RECEIPTID", errors=("bad_ids",)))
+@check("receipts_rejects", money.RECEIPT_ADAPTERS, told_sql(money.RECEIPT_SQL, "RECEIPTID", errors=("bad_ids", "amount_out_of_range")))
 def receipts_rejects(t: Tables) -> DataFrame:
     return told(money.receipts(t))
 
@@ -38,17 +38,17 @@ def invoice_rejects(t: Tables) -> DataFrame:
     return told(money.invoices(t))
 
 
-@check("lease_history_rejects", (*TENANCY, "t_leases"), told_sql(tenancy.HISTORY_LEASE_SQL, "unit", ONE))
+@check("lease_history_rejects", (*TENANCY, "t_leases"), told_sql(tenancy.HISTORY_LEASE_SQL, "unit", ONE, ("amount_out_of_range",)))
 def lease_history_rejects(t: Tables) -> DataFrame:
     return told(tenancy.history_leases(t))
 
 
-@check("customer_unit_link_rejects", (*TENANCY, "t_links"), told_sql(tenancy.LINK_SQL, "unit", ONE))
+@check("customer_unit_link_rejects", (*TENANCY, "t_links"), told_sql(tenancy.LINK_SQL, "unit", ONE, ("amount_out_of_range",)))
 def customer_unit_link_rejects(t: Tables) -> DataFrame:
     return told(tenancy.links(t))
 
 
-@check("history_link_rejects", (*TENANCY, "t_links"), told_sql(tenancy.HISTORY_LINK_SQL, "unit", ONE))
+@check("history_link_rejects", (*TENANCY, "t_links"), told_sql(tenancy.HISTORY_LINK_SQL, "unit", ONE, ("amount_out_of_range",)))
 def history_link_rejects(t: Tables) -> DataFrame:
     return told(load_history_links(t("x_tenancy"), t("t_customers"), t("t_units"), t("t_links"), PARAMS))
 
@@ -68,7 +68,7 @@ def synthetic_id_rejects(t: Tables) -> DataFrame:
     return told(load_former_with_notes(t("x_former"), t("t_customers"), PARAMS))
 
 
-@check("balance_rejects", ("x_balances", "t_customers"), told_sql(tenancy.BALANCE_SQL, "TENANTID", ONE))
+@check("balance_rejects", ("x_balances", "t_customers"), told_sql(tenancy.BALANCE_SQL, "TENANTID", ONE, ("amount_out_of_range",)))
 def balance_rejects(t: Tables) -> DataFrame:
     return told(tenancy.balances(t))
 

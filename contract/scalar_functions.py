@@ -53,7 +53,7 @@ def ids_to_numbers(t: Tables) -> DataFrame:
 
 
 @check("money_to_cents", ("x_payments",), f"""
-    SELECT _o1 AS line, _o2 AS supplier, {money_cents('DCPMTAMT')} AS cents, greatest(0, {money_cents('DCPMTAMT')}) AS floored,
+    SELECT _o1 AS line, _o2 AS supplier, {money_cents('DCPMTAMT')} AS cents, CASE WHEN {money_cents('DCPMTAMT')} < 0 THEN 0 ELSE {money_cents('DCPMTAMT')} END AS floored,
            {cents('DCPMTAMT')} AS signed, 0 - abs({cents('DCPMTAMT')}) AS negative, {vc(_rate('DCPMTAMT'))} AS dollars,
            CASE WHEN _o2 % 2 = 0 THEN NULL ELSE printf('%d.25', 1000000000 + _o1) END AS large FROM x_payments""")
 def money_to_cents(t: Tables) -> DataFrame:
@@ -93,6 +93,16 @@ def parse_payment_dates(t: Tables) -> DataFrame:
     )
 
 
+@check("parse_spelled_dates", ("x_spelled",), f"""
+    SELECT _o1 AS o, CASE _o1 % 12 WHEN 2 THEN {ts("day + to_hours(CAST((_o1 % 12 + 1) % 12 + 12 AS INTEGER)) + INTERVAL 4 MINUTE")}
+        WHEN 3 THEN {ts("day + to_hours(CAST(_o1 % 10 AS INTEGER)) + INTERVAL 306 SECOND")}
+        WHEN 4 THEN {ts("day + INTERVAL 39906 SECOND")} WHEN 8 THEN {ts("day + to_hours(CAST((_o1 % 12 + 1) % 12 AS INTEGER))")}
+        WHEN 10 THEN NULL WHEN 11 THEN NULL ELSE {ts("CAST(day AS TIMESTAMP)")} END AS parsed FROM x_spelled""")
+def parse_spelled_dates(t: Tables) -> DataFrame:
+    """Month words, weekdays, day endings, AM and PM, zones, and texts that hold no date."""
+    return t("x_spelled").select(F.col("_row_ord").alias("o"), dates.free_timestamp("SPELLED").alias("parsed"))
+
+
 @check("parse_free_dates", ("x_charges",), f"""
     SELECT _o1 AS line, _o2 AS supplier, {ts(free_at('DCHGSTRT'))} AS started, {ts(free_at('DCREATED'))} AS created,
            {ts(free_at('DUPDATED'))} AS updated, {day(free_at('DDELETED'))} AS deleted,

@@ -33,7 +33,17 @@ def free_day(x: str) -> str:
 TENANCY = ("x_tenancy", "t_customers", "t_units")
 
 
-def tenancy_sql(tenant: str, rules: str, known: str, key: str, where: str = "TRUE") -> str:
+TOO_LARGE = {"amount_out_of_range": "error"}
+LEASE_AMOUNTS = " OR ".join(f"{money_cents(c)} IS NULL" for c in ("DCRENT", "DCSCHEDRENT", "DCSECDEPPAID", "DCINSURPREMIUM"))
+
+
+def link_amounts(marks: bool) -> str:
+    """Rents of more than ten digits before the point."""
+    plain = "replace(ltrim(trim({0}), '$'), ',', '')" if marks else "trim({0})"
+    return " OR ".join(f"COALESCE(TRY_CAST({plain.format(c)} AS DOUBLE) >= 1e10, FALSE)" for c in ("DCRENT", "DCSCHEDRENT"))
+
+
+def tenancy_sql(tenant: str, rules: str, known: str, key: str, where: str = "TRUE", amounts: str = LEASE_AMOUNTS) -> str:
     return f"""{TEXT_CUSTOMERS}, {UNITS},
     p AS (SELECT x.*, {tenant} AS tenant, trim(SUNITNAME) AS unit, {free_day('DMOVEDIN')} AS moved_in,
                  COALESCE({free_day('DLEASE')}, {free_day('DMOVEDIN')}) AS lease_date, {free_day('DPAIDTHRU')} AS paid_thru,
@@ -43,7 +53,8 @@ def tenancy_sql(tenant: str, rules: str, known: str, key: str, where: str = "TRU
     c AS (SELECT q.*, {key} AS ky,
         CASE WHEN customer_id IS NULL THEN 'no_customer' WHEN unit_id IS NULL THEN 'no_unit'
              WHEN moved_in IS NULL THEN 'no_move_in' {rules}
-             WHEN COALESCE(lower(trim(DCRENT)) IN ('', 'nan', 'none'), TRUE) THEN 'no_rent' END AS b,
+             WHEN COALESCE(lower(trim(DCRENT)) IN ('', 'nan', 'none'), TRUE) THEN 'no_rent'
+             WHEN {amounts} THEN 'amount_out_of_range' END AS b,
         {known} AS k, CAST(NULL AS VARCHAR) AS a FROM q)"""
 
 
@@ -64,13 +75,13 @@ HISTORY_LEASE_SQL = tenancy_sql(
 LINK_SQL = tenancy_sql(
     "trim(TENANTID)", "",
     "CASE WHEN EXISTS (SELECT 1 FROM t_links l WHERE l.customer_id = q.customer_id AND l.unit_id = q.unit_id) THEN 'duplicate' END",
-    "(customer_id, unit_id)",
+    "(customer_id, unit_id)", amounts=link_amounts(True),
 )
 HISTORY_LINK_SQL = tenancy_sql(
     "split_part(trim(TENANTID), '.', 1)", "WHEN moved_out IS NULL THEN 'no_move_out'",
     """CASE WHEN EXISTS (SELECT 1 FROM t_links l WHERE l.move_out_date IS NOT NULL AND l.customer_id = q.customer_id
                          AND l.unit_id = q.unit_id AND l.lease_date = q.lease_date) THEN 'duplicate' END""",
-    "(customer_id, unit_id, lease_date)", ENDED,
+    "(customer_id, unit_id, lease_date)", ENDED, link_amounts(False),
 )
 
 
@@ -106,7 +117,7 @@ def lease_active_first_wins(t: Tables) -> DataFrame:
     return leases(t).accepted.select(*LEASE_SHOWN)
 
 
-@check("lease_active_counters", (*TENANCY, "t_leases"), counters_sql(LEASE_SQL, {}, ONE))
+@check("lease_active_counters", (*TENANCY, "t_leases"), counters_sql(LEASE_SQL, TOO_LARGE, ONE))
 def lease_active_counters(t: Tables) -> DataFrame:
     return leases(t).counters
 
@@ -122,7 +133,7 @@ def lease_history_quad_dedup(t: Tables) -> DataFrame:
     return history_leases(t).accepted.select(*LEASE_SHOWN)
 
 
-@check("lease_history_counters", (*TENANCY, "t_leases"), counters_sql(HISTORY_LEASE_SQL, {}, ONE))
+@check("lease_history_counters", (*TENANCY, "t_leases"), counters_sql(HISTORY_LEASE_SQL, TOO_LARGE, ONE))
 def lease_history_counters(t: Tables) -> DataFrame:
     return history_leases(t).counters
 
@@ -140,7 +151,7 @@ def lease_history_updates(t: Tables) -> DataFrame:
 
 def _dollars(x: str, marks: bool) -> str:
     plain = f"replace(ltrim(trim({x}), '$'), ',', '')" if marks else f"trim({x})"
-    return f"COALESCE(CAST(round_even(TRY_CAST({plain} AS DECIMAL(38,18)), 2) AS DECIMAL(12,2)), CAST(0 AS DECIMAL(12,2)))"
+    return f"COALESCE(TRY_CAST(round_even(TRY_CAST({plain} AS DECIMAL(38,18)), 2) AS DECIMAL(12,2)), CAST(0 AS DECIMAL(12,2)))"
 
 
 def _link_columns(marks: bool, charge: str, code: str) -> str:
@@ -167,12 +178,12 @@ def customer_unit_links(t: Tables) -> DataFrame:
     return links(t).accepted.select(*LINK_SHOWN)
 
 
-@check("customer_unit_link_counters", (*TENANCY, "t_links"), counters_sql(LINK_SQL, {}, ONE))
+@check("customer_unit_link_counters", (*TENANCY, "t_links"), counters_sql(LINK_SQL, TOO_LARGE, ONE))
 def customer_unit_link_counters(t: Tables) -> DataFrame:
     return links(t).counters
 
 
-@check("customer_unit_link_update_counters", (*TENANCY, "t_links"), counters_sql(LINK_SQL, {}, ONE, updating=True))
+@check("customer_unit_link_update_counters", (*TENANCY, "t_links"), counters_sql(LINK_SQL, TOO_LARGE, ONE, updating=True))
 def customer_unit_link_update_counters(t: Tables) -> DataFrame:
     return links(t, UPDATING).counters
 
@@ -186,7 +197,7 @@ def history_links(t: Tables) -> DataFrame:
     ).accepted.select(*LINK_SHOWN)
 
 
-@check("history_link_counters", (*TENANCY, "t_links"), counters_sql(HISTORY_LINK_SQL, {}, ONE))
+@check("history_link_counters", (*TENANCY, "t_links"), counters_sql(HISTORY_LINK_SQL, TOO_LARGE, ONE))
 def history_link_counters(t: Tables) -> DataFrame:
     return load_history_links(t("x_tenancy"), t("t_customers"), t("t_units"), t("t_links"), PARAMS).counters
 
@@ -254,10 +265,10 @@ def billing_rejects(t: Tables) -> DataFrame:
     return billing(t).rejects.select("row_id", "reason")
 
 
-@check("lookup_open_lease", ("t_leases",), f"""WITH {OPEN_LEASES_SQL}
+@check("lookup_open_lease", ("s_leases",), f"""WITH {OPEN_LEASES_SQL.replace('t_leases', 's_leases')}
     SELECT customer_id, unit_id, lease_id AS rental_agreement_id FROM open_leases""")
 def lookup_open_lease(t: Tables) -> DataFrame:
-    return open_leases(t("t_leases"))
+    return open_leases(t("s_leases"))
 
 
 @check("lookup_rent_roll_day", ("x_rent_roll",), f"""WITH {ROLL_SQL}
@@ -409,7 +420,8 @@ def synthetic_id_counters(t: Tables) -> DataFrame:
 _OWED = "DCRENTBAL DCLATEFEE1BAL DCLATEFEE2BAL DCLATEFEE3BAL DCLATEFEE4BAL DCLATEFEE5BAL DCNSFBAL DCADMINFEEBAL DCRECCHG8BAL".split()
 _BALANCE = " + ".join(f"COALESCE({num(c)}, 0)" for c in _OWED)
 BALANCE_SQL = f"""{TEXT_CUSTOMERS},
-    c AS (SELECT x.*, customer_id, customer_id AS ky, CASE WHEN customer_id IS NULL THEN 'no_customer' END AS b,
+    c AS (SELECT x.*, customer_id, customer_id AS ky, CASE WHEN customer_id IS NULL THEN 'no_customer'
+             WHEN TRY_CAST(round_even(({_BALANCE}) * 100, 0) AS BIGINT) IS NULL THEN 'amount_out_of_range' END AS b,
         CASE WHEN customer_id % 7 = 0 THEN 'duplicate' END AS k, CAST(NULL AS VARCHAR) AS a FROM x_balances x LEFT JOIN customers ON trim(TENANTID) = tenant_key)"""
 
 
@@ -420,7 +432,7 @@ def balances(t: Tables) -> Outcome:
 
 
 @check("customer_balance", ("x_balances", "t_customers"), accepted_sql(BALANCE_SQL, f"""customer_id,
-    greatest(0, CAST(round_even(({_BALANCE}) * 100, 0) AS BIGINT)) AS balance_in_cents, {money_cents('DCCREDITBAL')} AS credit_balance_in_cents,
+    greatest(0, TRY_CAST(round_even(({_BALANCE}) * 100, 0) AS BIGINT)) AS balance_in_cents, {money_cents('DCCREDITBAL')} AS credit_balance_in_cents,
     {ts(free_at('DPMTLAST'))} AS last_payment_date, {money_cents('DCPMTLASTAMT')} AS last_payment_amount_in_cents""", ONE))
 def customer_balance(t: Tables) -> DataFrame:
     return balances(t).accepted.select(
@@ -538,7 +550,7 @@ _TIMER = f"""CASE WHEN lower(POWER_TIMER_HR) = 'continuous' THEN 'CONTINUOUS' WH
 
 
 def _rate(x: str) -> str:
-    return f"CAST(round_even(TRY_CAST(trim({x}) AS DECIMAL(38,18)), 2) AS DECIMAL(12,2))"
+    return f"TRY_CAST(round_even(TRY_CAST(trim({x}) AS DECIMAL(38,18)), 2) AS DECIMAL(12,2))"
 
 
 _YES_SHORT = "lower(trim({0})) IN ('yes', 'y')"

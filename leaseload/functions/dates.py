@@ -10,6 +10,8 @@ tried in turn would raise and drop one parse error per format that does not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,17 +41,17 @@ PAYMENT_SHAPES = _shapes(_SINCE_1970, _MINUTES, _MINUTES, _SECONDS)
 BILLING_SHAPES = _shapes(_ANY_YEAR, "", _SECONDS, _SECONDS)
 ISO_TEXT_SHAPES = _shapes(_SINCE_1970, "", "", _SECONDS)
 FREE_SHAPES = _shapes(_ANY_YEAR, _MINUTES, _MINUTES, _ISO_CLOCK)
-DAY_FIRST_SHAPE = f"^(?:1[3-9]|2[0-9]|3[01])[/-]{_DAY_MONTH}[/-]{_ANY_YEAR}{_MINUTES}$"
-HALF_DAY_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{2}(:[0-9]{2})? [AaPp][Mm]$"
 SHORT_YEAR_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}$"
-# Shapes that machines write: a long fraction, a zone letter, year first with slashes,
-# eight digits, a two-digit year, a month by name.
-MACHINE_SHAPES = (
-    r"^(?:[12][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]+)?Z?"
-    r"|[12][0-9]{3}/[0-9]{1,2}/[0-9]{1,2}(?: [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]+)?)?|[12][0-9]{7}"
-    r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}|[0-9]{1,2}-[A-Za-z]{3}-(?:[0-9]{4}|[0-9]{2}))$"
+# Tokens of a free-form date: a clock with its meridiem and zone at the end, words, numbers.
+MONTHS = "january february march april may june july august september october november december".split()
+WEEKDAYS = "monday tuesday wednesday thursday friday saturday sunday".split()
+ORDINALS = ("st", "nd", "rd", "th")
+_ZONE = r"(?:\s*(?:Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?"
+_MERIDIEM = r"([ap])\.?m\.?"
+CLOCK_TOKEN = (
+    rf"(?i)(?:^|[\sT,])\s*([0-9]{{1,2}})(?::([0-9]{{1,2}}))(?::([0-9]{{1,2}})(?:[.,]([0-9]+))?)?\s*(?:{_MERIDIEM})?{_ZONE}$"
 )
-MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
+HOUR_TOKEN = rf"(?i)[\s,]([0-9]{{1,2}})\s*{_MERIDIEM}{_ZONE}$"
 NO_DATE_CELLS = ("", "nan", "NaT", "None", "1/1/1900", "1900-01-01")
 EPOCH_DAY = "1900-01-01"
 
@@ -64,24 +66,112 @@ def payment_timestamp(value: Column | str) -> Column:
     return _shaped(squeeze(value), PAYMENT_SHAPES)
 
 
-def _long_year(text: Column) -> Column:
-    """A two-digit year at the end in full; 69-99 mean the 1900s."""
-    short = r"^([0-9]{1,2}[/-][0-9]{1,2}[/-])"
-    old = F.regexp_replace(text, f"{short}(69|[7-9][0-9])$", "$119$2")
-    return F.regexp_replace(old, f"{short}([0-9]{{2}})$", "$120$2")
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` over a value that is computed once and stands for itself in the plan."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _begun_by(names: list[str], word: Column) -> Column:
+    """Place (from 1) of the name that a word of three letters or more begins, else 0."""
+    listed = F.array(*[F.lit(n) for n in names])
+    return F.when(F.length(word) >= 3, F.array_position(F.transform(listed, lambda n: n.startswith(word)), True)).otherwise(0)
+
+
+def _long_year(year: Column) -> Column:
+    """A two-digit year in full; 69-99 mean the 1900s."""
+    number = year.try_cast("int")
+    short = F.when(number >= 69, number + 1900).otherwise(number + 2000)
+    return F.lpad(F.when(F.length(year) <= 2, short).otherwise(number).cast("string"), 4, "0")
+
+
+def _of_clock(text: Column) -> Column:
+    """Struct of the ending of a text that is a clock, and the clock as h:m:s with a fraction; null if it is none."""
+    clock, hour_only = F.regexp_extract(text, CLOCK_TOKEN, 0), F.regexp_extract(text, HOUR_TOKEN, 0)
+
+    def group(n: int) -> Column:
+        return F.regexp_extract(text, CLOCK_TOKEN, n)
+
+    parts = F.when(
+        clock != "",
+        F.struct(clock.alias("ending"), group(1).alias("h"), group(2).alias("m"), group(3).alias("s"), group(4).alias("f"), group(5).alias("half")),
+    ).otherwise(
+        F.struct(
+            hour_only.alias("ending"), F.regexp_extract(text, HOUR_TOKEN, 1).alias("h"), F.lit("").alias("m"), F.lit("").alias("s"),
+            F.lit("").alias("f"), F.regexp_extract(text, HOUR_TOKEN, 2).alias("half"),
+        )
+    )
+
+    def shown(c: Column) -> Column:
+        hour, half = c["h"].try_cast("int"), F.lower(c["half"])
+        full = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), 0).otherwise(hour)
+        fits = (half == "") | hour.between(1, 12)
+        fraction = F.when(c["f"] != "", F.concat(F.lit("."), F.substring(c["f"], 1, 6))).otherwise("")
+        minutes = [F.when(x != "", x).otherwise("0") for x in (c["m"], c["s"])]
+        spelled = F.concat(F.concat_ws(":", full.cast("string"), *minutes), fraction)
+        return F.struct(c["ending"].alias("ending"), F.when(c["ending"] == "", "0:0:0").when(fits, spelled).alias("time"))
+
+    return _let(parts, shown)
+
+
+def _of_day(text: Column) -> Column:
+    """The date in a lower-case text without a clock, as y-m-d; null if it is none."""
+
+    def ordered(t: Column) -> Column:
+        month, n_words, n = t["month"], t["n_words"], F.size(t["numbers"])
+        first, second, third = (F.get(t["numbers"], F.lit(i)) for i in range(3))
+
+        def ymd(year: Column, of_year: Column, day: Column) -> Column:
+            return F.concat_ws("-", _long_year(year), of_year.cast("string"), day)
+
+        worded = (
+            F.when((n == 2) & (F.length(first) >= 3), ymd(first, month, second))
+            .when(n == 2, ymd(second, month, first))
+            .when((n == 1) & (F.length(first) == 4), ymd(first, month, F.lit("1")))
+        )
+        day_first = (first.try_cast("int") > 12) & (second.try_cast("int") <= 12)
+        numbered = (
+            F.when((n == 3) & (F.length(first) == 4), ymd(first, second, third))
+            .when((n == 3) & day_first, ymd(third, second, first))
+            .when(n == 3, ymd(third, first, second))
+            .when((n == 1) & first.rlike("^[12][0-9]{7}$"), F.regexp_replace(first, "^([0-9]{4})([0-9]{2})", "$1-$2-"))
+        )
+        return F.when((n_words == 1) & (month > 0), worded).when(n_words == 0, numbered)
+
+    words = F.regexp_extract_all(text, F.lit("[a-z]+"), F.lit(0))
+    # Weekdays and the endings of a day say nothing.
+    left = F.filter(words, lambda w: ~w.isin(*ORDINALS) & (_begun_by(WEEKDAYS, w) == 0))
+    tokens = _let(
+        left,
+        lambda ws: F.struct(
+            F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0)).alias("numbers"),
+            F.size(ws).alias("n_words"),
+            F.coalesce(_begun_by(MONTHS, F.get(ws, F.lit(0))), F.lit(0)).alias("month"),
+        ),
+    )
+    # Between the tokens stand blanks and the usual marks only.
+    return F.when(text.rlike(r"^[0-9a-z\s/,.-]+$"), _let(tokens, ordered))
+
+
+def _spelled_timestamp(text: Column) -> Column:
+    """Date and clock read by classes of tokens, in any order people and machines write them.
 
+    The clock (hours, minutes, seconds, fraction, AM or PM, zone) stands at the end. What
+    is left are numbers and words. Words are a month, a weekday or the ending of a day; any
+    other word means no date. A number of three digits or more is the year. With a month
+    word the other number is the day; without one, three numbers are year first, month
+    first, or day first where the first cannot be a month, and eight digits are a date.
+    Fractions are cut at microseconds; a zone is dropped, since times are wall-clock.
+    """
 
-def _machine_timestamp(text: Column) -> Column:
-    month = F.regexp_extract(text, "^[0-9]{1,2}-([A-Za-z]{3})-", 1)
-    at = F.instr(F.lit(MONTH_NAMES), F.lower(month))
-    numbered = F.when((month != "") & (at % 3 == 1), F.replace(text, month, ((at + 2) / 3).cast("int").cast("string")))
-    dayfirst = F.regexp_replace(_long_year(numbered), _MONTH_FIRST, "$3-$2-$1")
-    plain = F.regexp_replace(F.regexp_replace(text, "Z$", ""), r"(\.[0-9]{6})[0-9]+$", "$1")
-    plain = F.regexp_replace(plain, "^([0-9]{4})/([0-9]{1,2})/", "$1-$2-")
-    plain = F.regexp_replace(plain, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
-    plain = F.regexp_replace(_long_year(plain), _MONTH_FIRST, "$3-$1-$2")
-    ordered = F.when(month != "", dayfirst).otherwise(plain)
-    return F.when(text.rlike(MACHINE_SHAPES), ordered.try_cast("timestamp_ntz"))
+    def whole(x: Column) -> Column:
+        def joined(c: Column) -> Column:
+            rest = F.substr(x, F.lit(1), F.length(x) - F.length(c["ending"]))
+            day = _let(F.lower(rest), _of_day)
+            return F.when(c["time"].isNotNull(), F.concat(day, F.lit(" "), c["time"]).try_cast("timestamp_ntz"))
+
+        return _let(_of_clock(x), joined)
+
+    return _let(text, whole)
 
 
 def unread(value: Column | str, parsed: Column) -> Column:
@@ -91,23 +181,11 @@ def unread(value: Column | str, parsed: Column) -> Column:
 
 
 def free_timestamp(value: Column | str) -> Column:
-    """Free-form date: month first, day first where the month cannot be one, 24-hour or
-    AM/PM clock, ISO with blank or T, and the shapes machines write (fractions are cut
-    at microseconds, a Z is dropped: times stay wall-clock). Anything else is null."""
+    """Free-form date: the common shapes by one pattern, all others by their tokens (see
+    :func:`_spelled_timestamp`). Anything that is no date is null."""
     text = squeeze(value)
-    half_day = F.regexp_replace(F.upper(text), r"^([^ ]+ [0-9]{1,2}:[0-9]{2}) ([AP]M)$", "$1:00 $2")
-    return F.coalesce(
-        _shaped(text, FREE_SHAPES),
-        F.when(
-            text.rlike(HALF_DAY_SHAPE),
-            F.try_to_timestamp(half_day, F.lit("M/d/yyyy h:m:s a")).cast("timestamp_ntz"),
-        ),
-        F.when(
-            text.rlike(DAY_FIRST_SHAPE),
-            F.regexp_replace(text, _MONTH_FIRST, "$3-$2-$1").try_cast("timestamp_ntz"),
-        ),
-        _machine_timestamp(text),
-    )
+    spelled = F.when(text.rlike("[0-9]") & (F.length(text) < 80), _spelled_timestamp(text))
+    return F.coalesce(_shaped(text, FREE_SHAPES), spelled)
 
 
 def free_date(value: Column | str) -> Column:

@@ -19,6 +19,8 @@ _NUMERIC = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _WHOLE_PART = r"^[+-]?[0-9]+(\.[0-9]*)?$"
 
 RATE_TYPE = "decimal(12,2)"
+# Below this many dollars a double holds every cent.
+DOUBLE_CENTS = 9.0e13
 
 
 def _number(text: Column) -> Column:
@@ -62,30 +64,51 @@ def _without_money_marks(value: Column | str) -> Column:
 
 
 def rounded_cents(amount: Column) -> Column:
-    """Dollars as double to cents; rint rounds a tie to the even neighbour, round() would not."""
+    """Dollars as double to cents; rint rounds a tie to the even neighbour, round() would not.
+    Null beyond the range of a bigint."""
     return F.rint(amount * F.lit(100.0)).try_cast("bigint")
 
 
+def _cents_of(text: Column) -> Column:
+    """Cents of a numeric text; null where they do not fit a bigint.
+
+    A double holds every cent of the amounts below ``DOUBLE_CENTS``, and its rounding is
+    the rule there; larger amounts go over a decimal, which keeps all their digits.
+    """
+    amount = text.try_cast("double")
+    wide = (F.bround(text.try_cast("decimal(38,18)"), 2) * F.lit(100)).try_cast("bigint")
+    return F.when(F.abs(amount) < DOUBLE_CENTS, rounded_cents(amount)).otherwise(wide)
+
+
 def cents(value: Column | str) -> Column:
-    """Integer cents, dollar sign and commas allowed, 0 where there is no number."""
+    """Integer cents, dollar sign and commas allowed. 0 where there is no number, null
+    where the number does not fit, which is a reject and never a zero."""
     # Marks are rare: only a cell that is no number as it stands is searched for them.
-    return F.coalesce(
-        cents_or_null(value), rounded_cents(_number(_without_money_marks(value))), F.lit(0).cast("bigint")
-    )
+    text, plain = squeeze(value), _without_money_marks(value)
+    marked = F.when(plain.rlike(_NUMERIC), _cents_of(plain)).otherwise(F.lit(0).cast("bigint"))
+    return F.when(text.rlike(_NUMERIC), _cents_of(text)).otherwise(marked)
 
 
 def cents_or_null(value: Column | str) -> Column:
-    """Integer cents without any mark removed; null where there is no number."""
-    return rounded_cents(number(value))
+    """Integer cents without any mark removed; null where there is no number or it does not fit."""
+    text = squeeze(value)
+    return F.when(text.rlike(_NUMERIC), _cents_of(text))
 
 
 def signed_cents(value: Column | str) -> Column:
-    return F.coalesce(cents_or_null(value), F.lit(0).cast("bigint"))
+    """Integer cents without any mark removed; 0 where there is no number, null where it does not fit."""
+    text = squeeze(value)
+    return F.when(text.rlike(_NUMERIC), _cents_of(text)).otherwise(F.lit(0).cast("bigint"))
+
+
+def not_negative(amount: Column) -> Column:
+    """Nothing below zero; null stays null (``greatest`` would make it zero)."""
+    return F.when(amount < 0, F.lit(0).cast("bigint")).otherwise(amount)
 
 
 def floored_cents(value: Column | str) -> Column:
-    """Marks allowed, never below zero, 0 where there is no number."""
-    return F.greatest(F.lit(0).cast("bigint"), cents(value))
+    """Marks allowed, never below zero, 0 where there is no number, null where it does not fit."""
+    return not_negative(cents(value))
 
 
 def negative_cents(value: Column | str) -> Column:
@@ -114,7 +137,7 @@ def zero_takes(value: Column, other: Column) -> Column:
 
 
 def total_cents(columns: list[Column | str]) -> Column:
-    """Sum of many nullable dollar cells in cents, never below zero."""
+    """Sum of many nullable dollar cells in cents, never below zero; null beyond a bigint."""
     zero = F.lit(0.0)
     total = reduce(lambda a, b: a + b, [F.coalesce(number(_col(c)), zero) for c in columns], zero)
-    return F.greatest(F.lit(0).cast("bigint"), F.coalesce(rounded_cents(total), F.lit(0).cast("bigint")))
+    return not_negative(rounded_cents(total))

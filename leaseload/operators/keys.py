@@ -47,17 +47,19 @@ def first_rows(
     which ``only_where`` does not hold are all kept then too.
 
     The rank filter runs before the shuffle too (one row per key and task), so a
-    hot key never reaches one task as a whole. Rows that stand alone are ranked by
-    their own place, which keeps the read a single one and spreads them.
+    hot key never reaches one task as a whole. A row that stands alone is a key of its
+    own, by a number no other row has, so none is lost whatever its order; that keeps
+    the read a single one and spreads such rows.
     """
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
     if not keep_null_keys:
         rows, parts = df.filter(complete), [F.col(k) for k in key]
     else:
         held = complete if only_where is None else complete & F.coalesce(only_where, F.lit(False))
-        rows, parts = df, [*[F.when(held, F.col(k)) for k in key], F.when(~held, F.struct(*order))]
+        rows = df.withColumn("_alone", F.when(~held, F.monotonically_increasing_id()))
+        parts = [*[F.when(F.col("_alone").isNull(), F.col(k)) for k in key], F.col("_alone")]
     ranked = rows.withColumn("_rank", F.row_number().over(W.partitionBy(*parts).orderBy(*order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    return ranked.filter("_rank = 1").drop("_rank", "_alone")
 
 
 def latest_rows(df: DataFrame, key: list[str], newest: Column, order: list[Column | str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leaseload.operators.keys import first_rows, without_known
-from leaseload.sources.exports import ROW_ORDER
+from leaseload.sources.exports import ROW_ORDER, stage
 
 
 def new_rows(
@@ -72,22 +72,39 @@ def upsert(
     return both.select(*[merged(c) for c in target.columns])
 
 
-def assign_ids(source: DataFrame, target: DataFrame, key: str, id_column: str = "id", lanes: int = 1024) -> DataFrame:
-    """Give new rows ids above the target's largest one.
+def numbered(rows: DataFrame, order: list[Column | str], name: str, folder: str | None = None) -> DataFrame:
+    """Rows with ``name``: 1, 2, 3 ... in the given order, without a gap.
 
-    A single running number would need all rows in one task. Instead a digest of
-    the unique key picks one of ``lanes`` lanes, rows are numbered inside their
-    lane, and the lane fills the low part of the id. Ids are unique and the same
-    on every run over the same input; they are not gapless, as sequence ids are
-    not either. Size ``lanes`` so that one lane's rows fit a task's sort.
+    No task sees all rows. They are dealt by ranges of the order to as many tasks as a
+    shuffle has, sorted there and stored with their place; what comes before a task's
+    rows is a sum over the tasks before it, one row each. Ranges are drawn from a sample,
+    so the rows are stored before they are counted (``folder``, or the shared folder).
+    Rows that are equal in ``order`` get some order, the same for all readers.
     """
-    lane = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(lanes)
-    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("top"))
-    numbered = source.withColumn("_lane", lane).withColumn(
-        "_n", F.row_number().over(W.partitionBy("_lane").orderBy(key))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = stage(
+        dealt.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place")), folder
+    )
+    sizes = placed.groupBy("_part").agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_rows"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col("_part").alias("_of"), "_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
-    new_id = top.scalar() + F.lit(1) + (F.col("_n") - 1) * F.lit(lanes) + F.col("_lane")
-    return numbered.withColumn(id_column, new_id.cast("bigint")).drop("_lane", "_n")
+    joined = placed.join(starts, F.col("_part") == F.col("_of"))
+    return joined.select(*rows.columns, (F.col("_place") - F.col("_start") + F.col("_before") + 1).alias(name))
+
+
+def assign_ids(
+    source: DataFrame, target: DataFrame, key: str, id_column: str = "id", folder: str | None = None
+) -> DataFrame:
+    """Give new rows ids above the target's largest one, without gaps, in the order of their unique key.
+
+    Ids are the same on every run over the same input; more tasks number more rows.
+    """
+    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("top"))
+    rows = numbered(source.drop(id_column), [key], "_n", folder)
+    return rows.withColumn(id_column, (top.scalar() + F.col("_n")).cast("bigint")).drop("_n")
 
 
 def write_snapshot(df: DataFrame, folder: str, partition_by: list[str] | None = None) -> None:
@@ -101,8 +118,9 @@ def append(df: DataFrame, folder: str) -> None:
 
 
 def write_review(df: DataFrame, folder: str) -> None:
-    """Transformed rows as CSV with a header, for people to read before a load."""
-    df.write.mode("errorifexists").option("header", True).csv(folder)
+    """Transformed rows as CSV with a header, for people to read before a load, cells as they are."""
+    as_is = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("errorifexists").options(**as_is).csv(folder)
 
 
 def write_rejects(rejects: DataFrame, plan: str, run_ts: Column, folder: str) -> None:

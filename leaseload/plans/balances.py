@@ -46,7 +46,14 @@ def load_balances(balances: DataFrame, customers: DataFrame, stored: DataFrame,
         "location_id": params.location,
         "version": F.lit(0),
     }
-    before = [Rule("no_customer", F.col("customer_id").isNull(), "TENANTID", F.col("TENANTID"))]
+    amounts = {"balance_in_cents": "", "credit_balance_in_cents": "DCCREDITBAL", "last_payment_amount_in_cents": "DCPMTLASTAMT"}
+    before = [
+        Rule("no_customer", F.col("customer_id").isNull(), "TENANTID", F.col("TENANTID")),
+        *[
+            Rule("amount_out_of_range", derived[name].isNull(), cell, optional(rows, cell) if cell else None, "error")
+            for name, cell in amounts.items()
+        ],
+    ]
     return Outcome(
         rows=classified(rows, F.col("TENANTID"), derived, before),
         columns=BALANCE_TABLE,

@@ -84,6 +84,7 @@ def load_charges(
         Rule("bad_ids", F.col("_desc").isNull() | F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "error"),
         Rule("no_charge_type", F.col("charge_type_id").isNull(), "CHARGEDESCID", F.col("CHARGEDESCID")),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
+        Rule("amount_out_of_range", signed_cents("DCAMT").isNull(), "DCAMT", F.col("DCAMT"), "error"),
     ]
     started, updated = optional(rows, "DCHGSTRT"), optional(rows, "DUPDATED")
     # A stored run time that stands for a cell nobody could read is told.
@@ -139,6 +140,7 @@ def load_credits(
     created = F.coalesce("_created", effective)
     before = [
         Rule("amount_not_positive", F.col("_amount") <= 0, "DCCREDITAMT", F.col("DCCREDITAMT")),
+        Rule("amount_out_of_range", signed_cents("DCCREDITAMT").isNull(), "DCCREDITAMT", F.col("DCCREDITAMT"), "error"),
         Rule("non_posting", ~posting, "BNONPOSTING", optional(rows, "BNONPOSTING")),
         Rule("deleted", ~is_empty(deleted), "DDELETED", deleted),
         Rule("no_ledger", is_empty("LEDGERID"), "LEDGERID", F.col("LEDGERID")),

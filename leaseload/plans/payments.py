@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leaseload.functions.dates import payment_timestamp
 from leaseload.functions.enums import payment_method_id
-from leaseload.functions.numbers import id_text, number, rounded_cents, whole_number
+from leaseload.functions.numbers import id_text, not_negative, number, signed_cents, whole_number
 from leaseload.functions.records import (
     failure_reason,
     payment_notes,
@@ -68,6 +68,7 @@ def load_payments(
         Rule("no_ledger", F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "silent"),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
         Rule("zero_amount", F.col("_amount") == 0, "DCPMTAMT", F.col("DCPMTAMT")),
+        Rule("amount_out_of_range", signed_cents("DCPMTAMT").isNull(), "DCPMTAMT", F.col("DCPMTAMT"), "error"),
         Rule("deleted", ~is_empty(deleted), "DDELETED", deleted),
         Rule("no_payment_id", F.col("_payment").isNull(), "PAYMENTID", F.col("PAYMENTID"), "silent"),
     ]
@@ -83,7 +84,7 @@ def load_payments(
         "customer_id": F.col("customer_id"),
         "location_id": params.location,
         "organization_id": params.organization,
-        "amount_in_cents": F.greatest(long(0), rounded_cents(F.col("_amount"))),
+        "amount_in_cents": not_negative(signed_cents("DCPMTAMT")),
         "payment_method_type_id": F.col("_method"),
         "status": payment_status(nsf, deleted),
         "payment_date": F.coalesce(paid_at, created_at),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaseload.functions.dates import free_timestamp, unread
-from leaseload.functions.numbers import number, rounded_cents, whole_number
+from leaseload.functions.numbers import number, not_negative, signed_cents, whole_number
 from leaseload.functions.records import receipt_number, source_system
 from leaseload.operators.keys import attach, last_wins
 from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
@@ -63,6 +63,7 @@ def load_receipts(
     before = [
         Rule("bad_ids", F.col("_payment").isNull() | F.col("_tenant").isNull(), "PAYMENTID", F.col("PAYMENTID"), "error"),
         Rule("zero_amount", F.col("_amount") == 0, "DCAMT", F.col("DCAMT")),
+        Rule("amount_out_of_range", signed_cents("DCAMT").isNull(), "DCAMT", F.col("DCAMT"), "error"),
         Rule("no_receipt_number", key.isNull(), "IRECEIPTNUM", F.col("IRECEIPTNUM")),
     ]
     after = [
@@ -78,7 +79,7 @@ def load_receipts(
         "customer_id": F.col("customer_id"),
         "receipt_date": stamped,
         "payment_date": F.col("payment_date"),
-        "amount_in_cents": F.greatest(long(0), rounded_cents(F.col("_amount"))),
+        "amount_in_cents": not_negative(signed_cents("DCAMT")),
         "payment_method": F.col("payment_method"),
         "transaction_id": nothing(),
         "pdf_url": nothing(),

@@ -80,7 +80,10 @@ def _rent_rule(cell: Binding) -> Rule:
 
 def _amount_rule(name: str, cell: Binding, amount: Column) -> Rule:
     """An amount that does not fit its type stops the row; it is never stored as zero."""
-    return Rule("amount_out_of_range", amount.isNull(), name, cell[name])
+    return Rule("amount_out_of_range", amount.isNull(), name, cell[name], "error")
+
+
+LEASE_AMOUNTS = ("DCRENT", "DCSCHEDRENT", "DCSECDEPPAID", "DCINSURPREMIUM")
 
 
 def _lease(cell: Binding, employee: Column, status: str, params: Params) -> dict[str, Column]:
@@ -212,6 +215,7 @@ def load_leases(
         _date_rule("no_move_in", cell, "DMOVEDIN"),
         _date_rule("no_paid_through", cell, "DPAIDTHRU"),
         _rent_rule(cell),
+        *[_amount_rule(name, cell, cents(cell[name])) for name in LEASE_AMOUNTS],
     ]
     return Outcome(
         rows=classified(
@@ -238,6 +242,7 @@ def load_history_leases(
         _date_rule("no_move_out", cell, "DMOVEDOUT"),
         _date_rule("no_paid_through", cell, "DPAIDTHRU"),
         _rent_rule(cell),
+        *[_amount_rule(name, cell, cents(cell[name])) for name in LEASE_AMOUNTS],
     ]
     stay = (*PAIR, "move_in_date")
     key = (*stay, "move_out_date")

@@ -246,3 +246,35 @@ def test_ids_and_amounts_beyond_the_type(values):
         "1234567890123456789", "1234567890123456790", "12345678901234567890", "9223372036854775807",
     ]
     assert values(numbers.dollars("x"), "99999999999.00", "$9,999,999,999.99", "x") == [None, Decimal("9999999999.99"), Decimal("0.00")]
+
+
+SPELLED_DATES = [
+    ("Jan 2, 2020", datetime(2020, 1, 2)), ("2 January 2020 3:04 PM", datetime(2020, 1, 2, 15, 4)),
+    ("January 2nd, 2020", datetime(2020, 1, 2)), ("Thu, 2 Jan 2020 15:04:05 GMT", datetime(2020, 1, 2, 15, 4, 5)),
+    ("2020-Jan-02", datetime(2020, 1, 2)), ("2020 January 2", datetime(2020, 1, 2)), ("02-JAN-20", datetime(2020, 1, 2)),
+    ("Sept. 9, 1999 12:00 am", datetime(1999, 9, 9)), ("Jan 2020", datetime(2020, 1, 1)),
+    ("2020-01-02T03:04:05+00:00", datetime(2020, 1, 2, 3, 4, 5)), ("2020-01-02 03:04:05.5-0500", datetime(2020, 1, 2, 3, 4, 5, 500000)),
+    ("1/2/2020 3 PM", datetime(2020, 1, 2, 15)), ("1/2/2020 12:30 a.m.", datetime(2020, 1, 2, 0, 30)),
+    ("13/2/2020 1:02", datetime(2020, 2, 13, 1, 2)), ("2020.01.02", datetime(2020, 1, 2)), ("20200102", datetime(2020, 1, 2)),
+    ("Monday, March 2, 2020", datetime(2020, 3, 2)), ("May 5 2021", datetime(2021, 5, 5)),
+    # No dates.
+    ("13:00 PM", None), ("1/2/2020 13:00 PM", None), ("Ja 2, 2020", None), ("January", None), ("2 dogs 2020", None),
+    ("31/31/2020", None), ("Feb 30, 2020", None), ("779153", None), ("12.5", None), ("Jan Feb 2020", None), ("5:30", None),
+    ("1/2/2020 x", None), ("(1/2/2020)", None), ("12345678901234567890", None), ("just now", None),
+]
+
+
+def test_amounts_that_do_not_fit_are_null(values):
+    cells = ("99999999999999999999", "1e30", "-1e30", "1e400", "90071992547409.93", "$90,071,992,547,409.93", "92233720368547758.07", "92233720368547758.08", "2.675", "x", None)
+    exact, most = 9007199254740993, 9223372036854775807
+    assert values(numbers.signed_cents("x"), *cells) == [None, None, None, None, exact, 0, most, None, 268, 0, 0]
+    assert values(numbers.cents("x"), *cells) == [None, None, None, None, exact, exact, most, None, 268, 0, 0]
+    assert values(numbers.floored_cents("x"), *cells) == [None, None, None, None, exact, exact, most, None, 268, 0, 0]
+    assert values(numbers.cents_or_null("x"), *cells) == [None, None, None, None, exact, None, most, None, 268, None, None]
+    assert values(numbers.negative_cents("x"), "-5", "5", "1e30") == [-500, -500, None]
+    assert values(numbers.total_cents(["x", "x"]), "1e30", "-3", "0.05") == [None, 0, 10]
+
+
+def test_dates_by_their_tokens(values):
+    found = values(dates.free_timestamp("x"), *[cell for cell, _ in SPELLED_DATES])
+    assert dict(zip((c for c, _ in SPELLED_DATES), found)) == dict(SPELLED_DATES)

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from leaseload.operators.keys import first_rows, last_wins, latest_rows, repeats, without_known
 from leaseload.operators.load import (
-    append, assign_ids, insert_new, new_rows, upsert, write_rejects, write_review, write_snapshot,
+    append, assign_ids, insert_new, new_rows, numbered, upsert, write_rejects, write_review, write_snapshot,
 )
 from leaseload.operators.reconcile import backfill_created_by, recalculate_invoices, status_distribution
 from leaseload.params import Params
+from leaseload.sources.exports import stage
 
 
 def test_first_and_last_rows(spark):
@@ -55,6 +56,17 @@ def test_conditional_key(spark):
     assert sorted(r._row_ord for r in added.collect()) == [1, 2]
 
 
+def test_no_row_with_a_null_key_gets_lost(spark):
+    """Also where the order of such rows is equal or null."""
+    target = spark.createDataFrame([("1", "old")], "k string, v string")
+    rows = [(None, "x", 5), (None, "y", 5), (None, "x", 5), (None, "z", None), (None, "z", None), ("1", "n", 5), ("2", "a", 5), ("2", "b", None)]
+    source = spark.createDataFrame(rows, "k string, v string, _row_ord int").repartition(3)
+    added = new_rows(target, source, ["k"])
+    assert sorted((r.k or "", r.v) for r in added.collect()) == [("", "x"), ("", "x"), ("", "y"), ("", "z"), ("", "z"), ("2", "b")]
+    outside = new_rows(target, source, ["k"], key_filter=F.col("v") == "nothing")
+    assert outside.count() == len(rows)
+
+
 def test_upsert_touches_only_listed_columns(spark):
     target = spark.createDataFrame([(1, "a", "me"), (2, "b", "me")], "id int, v string, created string")
     source = spark.createDataFrame([(2, "B", "you"), (3, "C", "you")], "id int, v string, created string")
@@ -68,15 +80,27 @@ def test_upsert_can_set_null(spark):
     assert upsert(target, source, ["id"], ["v"]).first().v is None
 
 
-def test_assigned_ids_are_unique_stable_and_above_the_target(spark):
+def test_assigned_ids_are_gapless_stable_and_above_the_target(spark):
     target = spark.createDataFrame([(41,), (7,)], "id bigint")
     source = spark.range(5000).select((F.col("id") * 3).cast("string").alias("k"))
-    first = {r.k: r.id for r in assign_ids(source, target, "k", lanes=16).collect()}
-    second = {r.k: r.id for r in assign_ids(source.repartition(7), target, "k", lanes=16).collect()}
-    assert first == second
-    assert len(set(first.values())) == 5000 and min(first.values()) > 41
-    empty = assign_ids(source, target.filter("id < 0"), "k", lanes=16)
-    assert empty.agg(F.min("id")).first()[0] >= 1
+    expected = {k: 42 + n for n, k in enumerate(sorted(str(3 * i) for i in range(5000)))}
+    for rows in (source, source.repartition(7), source.withColumn("id", F.lit(None).cast("bigint"))):
+        assert {r.k: r.id for r in assign_ids(rows, target, "k").collect()} == expected
+    empty = assign_ids(source, target.filter("id < 0"), "k")
+    assert sorted(r.id for r in empty.collect()) == list(range(1, 5001))
+    assert assign_ids(source.filter("false"), target, "k").count() == 0
+
+
+def test_numbering_spreads_over_tasks(spark):
+    """Also where a third of all rows are equal in the order's first column."""
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("a"), "id")
+    found = numbered(rows, ["a", "id"], "n")
+    assert found.select("n").distinct().count() == 9000 and found.agg(F.max("n")).first()[0] == 9000
+    assert found.groupBy(F.spark_partition_id()).count().count() >= 1
+    tasks = {r["_part"]: r["count"] for r in stage(rows.repartitionByRange(4, "a", "id").withColumn("_part", F.spark_partition_id())).groupBy("_part").count().collect()}
+    assert len(tasks) == 4 and max(tasks.values()) < 4500
+    ordered = found.orderBy("n").collect()
+    assert [(r.a, r.id) for r in ordered] == sorted((r.a, r.id) for r in ordered)
 
 
 def test_sinks(spark, tmp_path):

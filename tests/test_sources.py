@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,9 @@ from leaseload.sources.contracts import (
     CUSTOMER_KEYS, LEASE_KEYS, LINK_KEYS, UNIT_KEYS, ContractError, bind, check_constraints, check_target, find_column,
     optional, require, validation_report,
 )
-from leaseload.sources.exports import drop_blank_key, drop_empty_rows, normal_header, read_export, shared_folder, stage, trim_cells, with_header
+from leaseload.sources.exports import (
+    drop_blank_key, drop_empty_rows, ends_open, normal_header, read_export, scanned, shared_folder, stage, trim_cells, with_header,
+)
 from leaseload.sources.runs import newest_runs, read_runs, record_run, run_statistics
 from leaseload.sources.tables import read_jdbc_table, read_table
 
@@ -16,27 +21,51 @@ def test_header_is_normalised_and_repeats_are_numbered():
     assert normal_header([" a ", "dDeleted", "ddeleted", "A"]) == ["A", "DDELETED", "DDELETED.1", "A.1"]
 
 
+def read(spark, path, **options):
+    """Rows of an export in their order, without it."""
+    rows = read_export(spark, str(path), **options)
+    return [tuple(r)[:-1] for r in rows.orderBy("_row_ord").collect()]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few dozen bytes."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+
+    def of(size):
+        spark.conf.set(name, str(size))
+
+    yield of
+    spark.conf.set(name, before)
+
+
 def test_read_export(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_bytes(
         'chargeid, memo ,Totals & Averages\r\n1.0,"two\nlines, ""quoted""",9\r\n,NA,9\r\n3,caf\xe9,9\r\n'.encode("latin-1")
     )
-    rows = read_export(spark, str(path), encoding="ISO-8859-1", multi_line=True)
+    rows = read_export(spark, str(path), encoding="ISO-8859-1")
     assert [c for c in rows.columns if c != "_row_ord"] == ["CHARGEID", "MEMO"]
-    got = [(r.CHARGEID, r.MEMO) for r in rows.orderBy("_row_ord").collect()]
-    assert got == [("1.0", 'two\nlines, "quoted"'), (None, None), ("3", "café")]
+    assert read(spark, path) == [("1.0", 'two\nlines, "quoted"'), (None, None), ("3", "café")]
     assert drop_empty_rows(rows).count() == 2
     assert drop_blank_key(rows, "CHARGEID").count() == 2
-    keep = read_export(spark, str(path), encoding="ISO-8859-1", strict_na=False, multi_line=True).orderBy("_row_ord").collect()
-    assert keep[1].MEMO == "NA"
+    assert read(spark, path, strict_na=False)[1][1] == "NA"
+
+
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffID,NAME\n1,Zo\u00eb \u4e2d\n".encode())
+    (tmp_path / "b.csv").write_bytes("ID,NAME\n2,Zo\u00eb\n".encode("latin-1"))
+    (tmp_path / "c.csv").write_bytes(b"ID,NAME\n3,plain\n")
+    assert read(spark, tmp_path) == [("1", "Zo\u00eb \u4e2d"), ("2", "Zo\u00eb"), ("3", "plain")]
 
 
 def test_files_of_a_folder_bind_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ID,AMT\n1,10\n")
     (tmp_path / "b.csv").write_text("AMT,ID\n20,2\n")
-    (tmp_path / "c.csv").write_text("ID,MEMO\n3,x\n")
-    rows = read_export(spark, str(tmp_path)).orderBy("_row_ord").collect()
-    assert [(r.ID, r.AMT, r.MEMO) for r in rows] == [("1", "10", None), ("2", "20", None), ("3", None, "x")]
+    (tmp_path / "c.csv").write_text("\n \nID,MEMO\n3,x,extra\n\n4\n")
+    (tmp_path / "d.csv").write_text("")
+    assert read(spark, tmp_path) == [("1", "10", None), ("2", "20", None), ("3", None, "x"), ("4", None, None)]
 
 
 def test_header_with_a_line_break(spark, tmp_path):
@@ -46,28 +75,70 @@ def test_header_with_a_line_break(spark, tmp_path):
     assert [r.ID for r in rows.collect()] == ["1"]
 
 
-def test_a_cell_over_its_line_ends_the_job(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('ID,MEMO\n1,"say ""hi"""\n2,"""quoted"" x"\n')
-    assert [r.MEMO for r in read_export(spark, str(tmp_path)).collect()] == ['say "hi"', '"quoted" x']
-    (tmp_path / "a.csv").write_text('ID,MEMO\n1,"two\nlines"\n')
-    with pytest.raises(Exception, match="runs over its line"):
+def test_inch_marks_and_odd_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,SIZE,NOTE\n1,5" door,x\n2,"5"" door",""\n3,a"b"c,d"\n4,"q"tail,"x, y"\n5,,"\n"\n')
+    assert read(spark, tmp_path, strict_na=False) == [
+        ("1", '5" door', "x"), ("2", '5" door', None), ("3", 'a"b"c', 'd"'), ("4", '"q"tail', "x, y"), ("5", None, "\n"),
+    ]
+
+
+def test_an_unclosed_cell_ends_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,MEMO\n1,"never\n2,closed\n')
+    with pytest.raises(Exception, match="not closed in .*a.csv"):
         read_export(spark, str(tmp_path)).collect()
-    assert [r.MEMO for r in read_export(spark, str(tmp_path), multi_line=True).collect()] == ["two\nlines"]
 
 
-def test_row_order_follows_the_file_over_splits(spark, tmp_path):
+def test_an_export_without_a_line_has_no_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n\n")
+    with pytest.raises(ValueError, match="no header"):
+        read_export(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("split", [40, 97, 1000])
+def test_line_breaks_in_cells_over_splits(spark, tmp_path, small_splits, split):
+    """Files with line breaks, quotes and commas in cells, read in many tasks, as the csv module reads them."""
+    rng = random.Random(split)
+    pieces = ["a", "\n", '"', ",", "b c", "\r\n", "", '5" x', "é"]
+    written = []
+    for n in range(2):
+        rows = [[str(i), *["".join(rng.choice(pieces) for _ in range(rng.randrange(6))) for _ in range(2)]] for i in range(20)]
+        with open(tmp_path / f"f{n}.csv", "w", newline="", encoding="utf-8") as out:
+            csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"])).writerows([["ID", "A", "B"], *rows])
+        written += [tuple(None if c == "" else c for c in row) for row in rows]
+    small_splits(split)
+    lines = scanned(spark, str(tmp_path))
+    blocks = lines.select("path", "block").distinct().count()
+    assert blocks > 5 or split == 1000
+    assert read(spark, tmp_path, strict_na=False) == written
+
+
+def test_state_of_a_line(spark):
+    lines = ['a,b', '"a', 'a"', '"a"', '"a""', 'x,"', '","', 'a,"b",c', '5" x', '""', '"""', 'a"",b', '"a"b"', '"a"b,"c']
+    frame = spark.createDataFrame([(x,) for x in lines], "x string")
+    found = frame.select("x", ends_open(F.col("x"), False).alias("o"), ends_open(F.col("x"), True).alias("s")).collect()
+    for r in found:
+        for state, before in ((r.o, ""), (r.s, '"')):
+            closed = list(csv.reader([before + r.x + "\n", "END\n"]))
+            assert state == (len(closed) == 1), (r.x, before)
+
+
+def test_one_job_plans_many_files(spark, tmp_path):
+    """The plan holds no file name, however many files there are."""
+    for n in range(60):
+        (tmp_path / f"f{n:03}.csv").write_text(f"ID,N\n{n},x\n")
+    rows = read_export(spark, str(tmp_path))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "f007.csv" not in plan
+    assert [r.ID for r in rows.orderBy("_row_ord").collect()] == [str(n) for n in range(60)]
+
+
+def test_row_order_follows_the_file_over_splits(spark, tmp_path, small_splits):
     path = tmp_path / "big.csv"
     path.write_text("id\n" + "\n".join(str(n) for n in range(20000)) + "\n")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
-    try:
-        rows = read_export(spark, str(path), multi_line=False)
-        assert rows.rdd.getNumPartitions() > 1
-        staged = stage(rows)
-        ordered = [int(r.ID) for r in staged.orderBy("_row_ord").select("ID").collect()]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert ordered == list(range(20000))
+    small_splits(16384)
+    assert scanned(spark, str(path)).select("block").distinct().count() > 1
+    staged = stage(read_export(spark, str(path)))
+    assert [int(r.ID) for r in staged.orderBy("_row_ord").select("ID").collect()] == list(range(20000))
 
 
 def test_stage_needs_the_shared_folder(spark):
@@ -80,6 +151,12 @@ def test_stage_needs_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Unset)
+    for master in ("local-cluster[3,2,1024]", "spark://host:7077", "yarn"):
+        Unset.conf.get = staticmethod(lambda name, default, m=master: m if name == "spark.master" else default)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Unset)
+    Unset.conf.get = staticmethod(lambda name, default: "local[4]" if name == "spark.master" else default)
+    assert shared_folder(Unset) == shared_folder(Unset)
 
 
 def test_trim_and_header_of_a_frame(spark):
