@@ -6,8 +6,8 @@ chunks of ``CHUNK`` bytes that overlap by half and together cover the whole docu
 A dense layer turns a chunk's averages into evidence, the strongest evidence of all
 chunks is kept for each unit, and one logistic unit combines it into a probability.
 
-Fitting uses a bounded sample (``ROWS_PER_CLASS`` labelled rows of each kind, at most
-``FIT_CHUNKS`` chunks of each, spread evenly); every byte of every text is scored, in
+Fitting uses a bounded sample (``ROWS_PER_CLASS`` labelled rows of each kind); of each
+text, up to ``FIT_CHUNKS`` chunks spread evenly over the whole of it teach. Every byte of every text is scored, in
 blocks, so a very long text needs no more memory. Null and empty texts are one empty
 chunk. With labels of one kind only, or none, every score is that kind's share.
 """
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from leaseload.llm.training import fold, labelled_sample
 
 ROWS_PER_CLASS = 700
-FIT_CHARS = 20_000
 FIT_CHUNKS = 6
 HALF = 192
 CHUNK = 2 * HALF
@@ -199,7 +198,7 @@ def fit(texts: list[str], good: np.ndarray, seed: int = 11) -> Network:
 def scored(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out_fold: int = 1) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; the held-out fold is never fitted."""
     held_out = fold("doc_id", folds) == held_out_fold
-    sample = labelled_sample(docs, labels, "quality", ~held_out, ROWS_PER_CLASS, FIT_CHARS)
+    sample = labelled_sample(docs, labels, "quality", ~held_out, ROWS_PER_CLASS)
     net = docs.sparkSession.sparkContext.broadcast(fit(sample["text"].tolist(), sample["y"].to_numpy()))
 
     def over(texts: pd.Series) -> pd.Series:

@@ -6,19 +6,27 @@ left apart lower the weight and do not hide the word; both sides are scaled to u
 length, counting each occurrence. A letter run spelled out with spaces counts as one word. Spans beyond
 ``SPAN`` letters weigh next to nothing and are left out.
 
-A sentence's score is that of its worst word. Training sentences carry labels: those
-of clean documents are clean; in a toxic document, the sentences with a word that
-marks toxic documents are toxic, and the others say nothing. Landmarks are marking
-words and common clean words; a word's features are its kernels with the landmarks,
-whitened by their own kernel matrix (Nystrom), and a linear support vector machine is
-trained on them by sentences, in rounds that take up each sentence's worst word anew.
-A linear function of kernels with fixed landmarks is one weight per letter triple, so
-scoring a word needs no landmark any more and costs one lookup per subsequence. A
-document's score is its worst word's, calibrated to a probability.
-
-Fitting uses a bounded sample of labelled rows (``ROWS_PER_CLASS``, ``FIT_CHARS``);
-every whole text is scored. Null and empty texts score as a text without marked words.
-With labels of one kind only, or none, every score is that kind's share (0.5 if none).
+A word marks toxic documents if so many of them hold it that chance would do it for
+none of all words tested (hypergeometric tail over documents, equal texts counted once,
+at ``DOUBT`` for all words together). Training sentences carry labels: those of clean
+documents are clean; in a toxic document, the sentences with a marking word are toxic,
+and the others say nothing. Landmarks are marking words and common clean words; a word's
+features are its kernels with the landmarks, whitened by their own kernel matrix
+(Nystrom), and a linear support vector machine is trained on them by sentences, in rounds
+that take up each sentence's worst word anew. A linear function of kernels with fixed
+landmarks is one weight per letter triple, so scoring a word needs no landmark any more
+and costs one lookup per subsequence.
+
+A document is judged by its worst word, its worst sentence (the sum of what speaks for
+toxicity in it), the sum over all of it and the share of such words: one clear insult is
+enough, and so are many words that each say little. A logistic curve over these is fitted
+to the documents' labels.
+
+Fitting uses a bounded sample of labelled rows (``ROWS_PER_CLASS``), each with its whole
+text; every whole text is scored. Null and empty texts score as a text without marked
+words. Repeated rows score alike; extra columns are not looked at; an empty table gives
+no row. With labels of one kind only, or none, every score is that kind's share (0.5 if
+none); where no word marks anything, every score is the share of toxic documents.
 """
 
 from __future__ import annotations
@@ -35,7 +43,6 @@ from pyspark.sql import functions as F
 from leaseload.llm.training import fold, labelled_sample
 
 ROWS_PER_CLASS = 1_500
-FIT_CHARS = 20_000
 LANDMARKS = 256
 DECAY = 0.6
 SPAN = 8
@@ -50,20 +57,74 @@ LETTERS = 1 + 26 + 1 + OTHER_LETTERS
 EDGE = 27
 LONGEST = 28
 REMEMBERED = 500_000
+# A word in fewer documents is not tested.
 MIN_DOCS = 3
+# Chance that any word at all is taken for a marking one without being one.
+DOUBT = 0.01
 # Words scored at a time.
 BLOCK = 8_192
 
-_SENTENCE = re.compile(r"[.!?\n]+\s*")
 _SPELLED = re.compile(r"\s(\S(?:\s+\S){2,})(?=\s)")
 
 
 def units(text: str) -> list[str]:
-    """Words of a text in lower case, and spelled-out letter runs as words."""
+    """Words of a text in lower case and order, then its spelled-out letter runs as words."""
     lowered = text.lower()
     return lowered.split() + ["".join(run.split()) for run in _SPELLED.findall(f" {lowered} ")]
 
 
+def sentence_starts(words: list[str]) -> np.ndarray:
+    """Places where sentences begin: a word that ends in a mark ends its sentence."""
+    return np.array([0, *[i for i, w in enumerate(words[:-1], 1) if w[-1] in ".!?"]])
+
+
+def log_tails(toxic_with: np.ndarray, all_with: np.ndarray, toxic: int, everything: int) -> np.ndarray:
+    """Logarithm of the chance that so many or more of the documents with a word are toxic."""
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, everything + 1)))])
+
+    def choose(n: int, k: np.ndarray | int) -> np.ndarray:
+        return logs[n] - logs[k] - logs[n - k]
+
+    known: dict[tuple[int, int], float] = {}
+    out = np.empty(len(all_with))
+    for i, (k, n) in enumerate(zip(toxic_with.tolist(), all_with.tolist())):
+        if (k, n) not in known:
+            j = np.arange(max(k, n - (everything - toxic)), min(n, toxic) + 1)
+            terms = choose(toxic, j) + choose(everything - toxic, n - j) - choose(everything, n)
+            most = terms.max(initial=-np.inf)
+            known[k, n] = float(most + np.log(np.exp(terms - most).sum())) if len(j) else 0.0
+        out[i] = known[k, n]
+    return out
+
+
+def spread(marking: list[str], documents: list[list[list[str]]], toxic: np.ndarray, times: int = 4) -> list[str]:
+    """Marking words, those first that lie in toxic documents with few words before them:
+    a kind of insult with few documents is not crowded out by one with many."""
+    found: dict[str, list[int]] = {w: [] for w in marking}
+    for n, (sentences, y) in enumerate(zip(documents, toxic)):
+        if y:
+            for w in {w for s in sentences for w in s} & found.keys():
+                found[w].append(n)
+    covered = np.zeros(len(documents), np.int64)
+    early, late = [], []
+    for w in marking:
+        new = (covered[found[w]] < times).any()
+        (early if new else late).append(w)
+        if new:
+            covered[found[w]] += 1
+    return early + late
+
+
+def evidence(scores: np.ndarray, starts: np.ndarray) -> tuple[float, float, float, float]:
+    """What word scores say of a document: worst word, worst sentence, sum, share."""
+    if not len(scores):
+        return NO_WORD, 0.0, 0.0, 0.0
+    positive = np.maximum(scores, 0.0)
+    total = positive.sum()
+    worst_sentence = np.add.reduceat(positive, starts).max() if total else 0.0
+    return float(scores.max()), float(np.log1p(worst_sentence)), float(np.log1p(total)), float(np.mean(scores > 0))
+
+
 def letter_codes(words: list[str]) -> np.ndarray:
     """One row of letter codes per piece of a word; 0 marks other characters and the end."""
     cut = [word[:LONGEST] for word in words]
@@ -128,7 +189,8 @@ def kernel_map(words: list[str]) -> np.ndarray:
 class Model:
     weights: np.ndarray
     bias: float
-    slope: float
+    # Of the logistic curve over a document's evidence.
+    slopes: np.ndarray
     shift: float
 
     def words(self, words: list[str]) -> np.ndarray:
@@ -139,8 +201,8 @@ class Model:
         starts = np.cumsum([0, *map(len, split)])[:-1]
         return np.maximum.reduceat(flat, starts)
 
-    def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -30, 30)))
+    def probability(self, evidences: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(np.atleast_2d(evidences) @ self.slopes + self.shift, -30, 30)))
 
 
 # The score of a text without any word.
@@ -149,22 +211,30 @@ NO_WORD = -3.0
 
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     """Train on whole documents' labels carried down to sentences."""
-    flat = Model(np.zeros(LETTERS**3, np.float32), 0.0, 0.0, 0.0)
+    flat = Model(np.zeros(LETTERS**3, np.float32), 0.0, np.zeros(4), 0.0)
     share = float(np.mean(toxic)) if len(toxic) else 0.5
     if not 0 < share < 1:
         flat.shift = 30.0 * (2 * share - 1)
         return flat
-    documents = [[units(s) for s in _SENTENCE.split(t) if s] for t in texts]
-    in_toxic, in_clean = Counter(), Counter()
-    for sentences, y in zip(documents, toxic):
+    documents = []
+    for t in texts:
+        own = units(t)
+        documents.append([list(map(str, part)) for part in np.split(np.array(own, object), sentence_starts(own)[1:])] if own else [])
+    # Equal texts are one document here.
+    in_toxic, in_clean, seen = Counter(), Counter(), set()
+    n_toxic = n_clean = 0
+    for t, sentences, y in zip(texts, documents, toxic):
+        if (t, int(y)) in seen:
+            continue
+        seen.add((t, int(y)))
         (in_toxic if y else in_clean).update({w for s in sentences for w in s})
-    n_toxic, n_clean = int(toxic.sum()), int((toxic == 0).sum())
-
-    def lift(word: str) -> float:
-        return np.log((in_toxic[word] + 0.5) / n_toxic) - np.log((in_clean[word] + 0.5) / n_clean)
-
-    marking = [w for w, n in in_toxic.items() if n >= MIN_DOCS and len(w) > 2 and lift(w) > 1.5]
-    marking.sort(key=lambda w: (-lift(w) * np.sqrt(in_toxic[w]), w))
+        n_toxic, n_clean = n_toxic + int(y), n_clean + 1 - int(y)
+    tested = sorted(w for w in in_toxic if len(w) > 2 and in_toxic[w] + in_clean[w] >= MIN_DOCS)
+    of_toxic = np.array([in_toxic[w] for w in tested], np.int64)
+    of_all = np.array([in_toxic[w] + in_clean[w] for w in tested], np.int64)
+    tails = log_tails(of_toxic, of_all, n_toxic, n_toxic + n_clean)
+    limit = np.log(DOUBT / max(1, len(tested)))
+    marking = [tested[i] for i in np.argsort(tails, kind="stable").tolist() if tails[i] < limit]
     marks = set(marking)
     clean_words = sorted(w for w in in_clean if w not in marks)
     if not marking or not clean_words:
@@ -172,8 +242,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         return flat
 
     common = sorted(clean_words, key=lambda w: (-in_clean[w], w))[: LANDMARKS // 3]
-    landmarks = [*marking[: LANDMARKS - len(common)], *common]
-    rows = kernel_map([pieces(w)[0] for w in landmarks])
+    landmarks = [*spread(marking, documents, toxic)[: LANDMARKS - len(common)], *common]
+    rows = kernel_map([p for w in landmarks for p in pieces(w)])
     values, vectors = np.linalg.eigh((rows @ rows.T).astype(np.float64))
     kept = values > 1e-4 * values[-1]
     # Nystrom features as weights of the letter triples that landmarks have; all others
@@ -186,14 +256,14 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     del rows
 
     # Sentences as lists of word numbers.
-    words = sorted({p for ss in documents for s in ss for w in s for p in pieces(w)[:1]})
+    words = sorted({p for ss in documents for s in ss for w in s for p in pieces(w)})
     number = {w: i for i, w in enumerate(words)}
     toxic_sentences, clean_sentences = [], []
     for sentences, y in zip(documents, toxic):
         for s in sentences:
             if not s:
                 continue
-            ids = np.array([number[pieces(w)[0]] for w in s])
+            ids = np.array([number[p] for w in s for p in pieces(w)])
             if y and not marks.isdisjoint(s):
                 toxic_sentences.append(ids)
             elif not y:
@@ -210,7 +280,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         return joined[first]
 
     marked = np.zeros(len(words))
-    marked[[number[pieces(w)[0]] for w in marking]] = 1.0
+    marked[[number[p] for w in marking for p in pieces(w)]] = 1.0
+
     def features(of_words: list[str]) -> np.ndarray:
         """Nystrom features of words, in their order."""
         out = np.zeros((len(of_words), by_triple.shape[1]), np.float32)
@@ -225,7 +296,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
 
     # The best marking words again, with marks between their letters or inside.
     spoilt = [x for w in marking[:SPOILT] for x in (".".join(w), w[: len(w) // 2] + "*" + w[len(w) // 2 :], w[:2] + "-" + w[2:])]
-    spoilt_features = features([pieces(w)[0] for w in spoilt])
+    spoilt = [p for w in spoilt for p in pieces(w)]
+    spoilt_features = features(spoilt)
     score = marked
     rng = np.random.default_rng(seed)
     hard: list[np.ndarray] = []
@@ -235,6 +307,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         clean = clean[marked[clean] == 0]
         hard.append(clean[np.argsort(-score[clean], kind="stable")][:HARD_WORDS])
         negative = np.unique(np.concatenate(hard))
+        # A rare kind of insult keeps some say beside a frequent one.
+        times = np.sqrt(times)
         x = np.concatenate([spoilt_features, features([words[i] for i in (*positive, *negative)])])
         y = np.ones(len(x))
         y[len(x) - len(negative) :] = -1
@@ -248,8 +322,9 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         weight, bias = _svm(x.astype(np.float64), y, each)
         triple_weights = np.append(by_triple[:-1] @ weight, 0)[place].astype(np.float32)
         score = scored_by(triple_weights, words) - bias
-    model = Model(triple_weights, float(bias), 1.0, 0.0)
-    model.slope, model.shift = _calibrated(np.array([worst_word(model, t) for t in texts]), toxic)
+    model = Model(triple_weights, float(bias), np.zeros(4), 0.0)
+    known: dict[str, float] = {}
+    model.slopes, model.shift = _calibrated(np.array([judged(model, units(t), known) for t in texts]), toxic)
     return model
 
 
@@ -268,48 +343,60 @@ def _svm(x: np.ndarray, y: np.ndarray, each: np.ndarray, penalty: float = 1e-5,
     return w[:-1], float(w[-1])
 
 
-def _calibrated(worst: np.ndarray, toxic: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and shift of a logistic curve over document scores, by Newton's method."""
-    x = np.stack([worst, np.ones(len(worst))], 1)
-    w = np.zeros(2)
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x.T * (p * (1 - p) + 1e-6)) @ x + 1e-3 * np.eye(2)
-        w -= np.linalg.solve(curve, x.T @ (p - toxic) + 1e-3 * w)
-    return float(max(w[0], 0.0)), float(w[1])
-
-
-def worst_word(model: Model, text: str, known: dict | None = None) -> float:
-    found = set(units(text))
-    known = {} if known is None else known
-    new = [w for w in found if w not in known]
+def _calibrated(x: np.ndarray, toxic: np.ndarray, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Slopes (none below zero) and shift of a logistic curve over evidence, by Newton's method."""
+    centre, scale = x.mean(0), x.std(0) + 1e-6
+    used = list(range(x.shape[1]))
+    while used:
+        whole = np.hstack([(x[:, used] - centre[used]) / scale[used], np.ones((len(x), 1))])
+        w = np.zeros(len(used) + 1)
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(whole @ w, -30, 30)))
+            curve = (whole.T * (p * (1 - p) + 1e-6)) @ whole + 1e-1 * np.eye(len(w))
+            w -= np.linalg.solve(curve, whole.T @ (p - toxic) + 1e-1 * w * (np.arange(len(w)) < len(used)))
+        if w[:-1].min() >= 0:
+            break
+        # More evidence never speaks against toxicity: what would is left out.
+        del used[int(np.argmin(w[:-1]))]
+    slopes = np.zeros(x.shape[1])
+    if not used:
+        share = float(np.mean(toxic))
+        return slopes, float(np.log(share / (1 - share)))
+    slopes[used] = w[:-1] / scale[used]
+    return slopes, float(w[-1] - slopes @ centre)
+
+
+def judged(model: Model, words: list[str], known: dict[str, float]) -> tuple[float, float, float, float]:
+    """Evidence of a document's words; ``known`` remembers word scores up to a bound."""
+    learn(model, set(words), known)
+    scores = np.fromiter(map(known.__getitem__, words), np.float64, len(words))
+    return evidence(scores, sentence_starts(words))
+
+
+def learn(model: Model, words: set[str], known: dict[str, float]) -> None:
+    """Score the words that are not known yet."""
+    new = [w for w in words if w not in known]
     if len(known) + len(new) > REMEMBERED:
         known.clear()
-        new = list(found)
-    if new:
-        known.update(zip(new, model.words(new).tolist()))
-    return max((known[w] for w in found), default=NO_WORD)
+        new = list(words)
+    for begin in range(0, len(new), 20_000):
+        part = new[begin : begin + 20_000]
+        known.update(zip(part, model.words(part).tolist()))
 
 
 def scored(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out_fold: int = 0) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; the held-out fold is never fitted."""
     held_out = fold("doc_id", folds) == held_out_fold
-    sample = labelled_sample(docs, labels, "toxic", ~held_out, ROWS_PER_CLASS, FIT_CHARS)
+    sample = labelled_sample(docs, labels, "toxic", ~held_out, ROWS_PER_CLASS)
     model = docs.sparkSession.sparkContext.broadcast(fit(sample["text"].tolist(), sample["y"].to_numpy()))
     known: dict[str, float] = {}
 
     def over(texts: pd.Series) -> pd.Series:
         held = model.value
         words = [units(t or "") for t in texts]
-        new = list(set().union(*words).difference(known)) if words else []
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set().union(*words))
-        for begin in range(0, len(new), 20_000):
-            part = new[begin : begin + 20_000]
-            known.update(zip(part, held.words(part).tolist()))
-        worst = np.array([max(map(known.__getitem__, found), default=NO_WORD) for found in words])
-        return pd.Series(held.probability(worst))
+        learn(held, set().union(*words), known)
+        found = [evidence(np.fromiter(map(known.__getitem__, ws), np.float64, len(ws)), sentence_starts(ws)) for ws in words]
+        return pd.Series(held.probability(np.array(found)) if found else np.empty(0))
 
     over.__annotations__ = {"texts": pd.Series, "return": pd.Series}
     score = F.pandas_udf(over, "double")("text")

@@ -13,11 +13,11 @@ def fold(doc_id: str, folds: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, in_fit: Column, rows_per_class: int, chars: int
+    docs: DataFrame, labels: DataFrame, label: str, in_fit: Column, rows_per_class: int
 ) -> pd.DataFrame:
     """(doc_id, text, y): at most ``rows_per_class`` rows of each label, by hash of the id.
 
-    For fitting only, so a text counts up to ``chars`` characters. An id labelled more
+    Texts are whole. An id labelled more
     than once has its largest label; ids without a text or a label are left out.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).dropna().filter(in_fit)
@@ -27,6 +27,6 @@ def labelled_sample(
         known.filter("y = 1").orderBy(order, "doc_id").limit(rows_per_class)
     )
     # Bounded: two classes of rows_per_class ids.
-    texts = docs.select("doc_id", F.substring("text", 1, chars).alias("text")).dropna()
+    texts = docs.select("doc_id", "text").dropna()
     found = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     return found.toPandas().sort_values("doc_id", ignore_index=True)

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -85,13 +87,67 @@ def test_toxicity_held_out_and_gapped(spark, documents, corpus):
     clean = prose(random.Random(99), 60)
 
     def probability(text):
-        return model.probability(np.array([toxicity.worst_word(model, text)]))[0]
+        return model.probability(np.array(toxicity.judged(model, toxicity.units(text), {})))[0]
 
     assert probability(clean) < 0.5
     for insult in ("numbskull", "numb-skull", "numb*skull", "n u m b s k u l l", "numbbskull"):
         assert probability(f"{clean} {insult} {clean}") > 0.5, insult
 
 
+@pytest.mark.parametrize(("k", "n", "toxic", "everything"), [(4, 4, 36, 262), (6, 8, 36, 262), (0, 5, 10, 40), (10, 30, 10, 40), (3, 3, 3, 3)])
+def test_tails_are_those_of_drawing_documents(k, n, toxic, everything):
+    ways = sum(math.comb(toxic, j) * math.comb(everything - toxic, n - j) for j in range(k, min(n, toxic) + 1) if n - j <= everything - toxic)
+    found = toxicity.log_tails(np.array([k]), np.array([n]), toxic, everything)[0]
+    assert found == pytest.approx(math.log(ways / math.comb(everything, n)), abs=1e-9)
+
+
+def test_no_word_of_few_documents_marks():
+    """Copies of a toxic text share rare words, which must not stand for toxicity."""
+    rng = random.Random(8)
+    texts, toxic = [], []
+    for n in range(360):
+        rude = n % 6 == 0
+        texts.append(prose(rng, 80) + (f" {rng.choice(INSULTS)} odd{n} rare{n}" if rude else ""))
+        toxic.append(int(rude))
+    texts += [texts[0]] * 5
+    toxic += [1] * 5
+    model = toxicity.fit(texts, np.array(toxic))
+    known = {}
+
+    def probability(text):
+        return model.probability(np.array(toxicity.judged(model, toxicity.units(text), known)))[0]
+
+    clean = prose(random.Random(5), 60)
+    assert probability(f"{clean} odd0 rare0 {clean}") < 0.5 < probability(f"{clean} dimwit {clean}")
+
+
+def test_evidence_adds_up_over_a_document():
+    scores = np.array([-1.0, 0.5, 0.5, -2.0, 0.25])
+    starts = toxicity.sentence_starts(["a", "b", "c.", "d", "e"])
+    assert starts.tolist() == [0, 3]
+    worst, sentence, total, share = toxicity.evidence(scores, starts)
+    assert (worst, share) == (0.5, 0.6)
+    assert (sentence, total) == (pytest.approx(np.log1p(1.0)), pytest.approx(np.log1p(1.25)))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="supplied tables are not here")
+@pytest.mark.parametrize(("scale", "least_fit", "least_held"), [("sf0.01", 0.6, 0.6), ("sf0.1", 0.85, 0.85)])
+def test_toxic_documents_of_the_supplied_tables(scale, least_fit, least_held):
+    """Recall and false alarms at any number of labels; 45 and 449 documents are labelled toxic."""
+    import duckdb
+
+    folder = f"/root/testdata/{scale}"
+    rows = duckdb.sql(f"SELECT d.doc_id, text, toxic FROM '{folder}/documents.parquet' d JOIN '{folder}/labels.parquet' USING (doc_id) WHERE toxic IS NOT NULL AND text IS NOT NULL ORDER BY 1").fetchall()
+    parts = {held: [r for r in rows if (zlib.crc32(str(r[0]).encode()) % 5 == 0) == held] for held in (False, True)}
+    few = [r for r in parts[False] if r[2]] + [r for r in parts[False] if not r[2]][: toxicity.ROWS_PER_CLASS]
+    model = toxicity.fit([r[1] for r in few], np.array([r[2] for r in few]))
+    known = {}
+    for held, least in ((False, least_fit), (True, least_held)):
+        found = model.probability(np.array([toxicity.judged(model, toxicity.units(r[1]), known) for r in parts[held]])) >= 0.5
+        marked = np.array([r[2] for r in parts[held]]) == 1
+        assert found[marked].mean() >= least and found[~marked].mean() <= 0.02
+
+
 def test_quality_held_out(spark, documents, corpus):
     texts, quality, toxic = corpus
     docs = documents(*texts, extra=CLASHING)
