@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -11,27 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leaseload.sources.exports import shared_folder
+
 # Python workers get this many rows at a time: a text may be very long, and a batch
 # of the default 10,000 texts would not fit beside a heap.
 BATCH_ROWS = "1000"
 
 
-_own_folder: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, named by ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) a folder of its own is used.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not _own_folder:
-            _own_folder.append(tempfile.mkdtemp(prefix="llm-shared-"))
-        folder = _own_folder[0]
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared folder and read it back.
 

@@ -90,7 +90,48 @@ COLLOCATIONS = """
     SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
     FROM placed JOIN totals USING (lang) WHERE rank <= 2000"""
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION = f"""
+    WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS ws FROM documents),
+    items AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+    item_places AS (SELECT item_id, ws, least(len(ws), 13) AS k, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS i FROM items WHERE len(ws) > 0),
+    windows AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS w FROM item_places),
+    sizes AS (SELECT DISTINCT k FROM windows),
+    doc_places AS (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM docs, sizes WHERE len(ws) >= k),
+    doc_windows AS (SELECT r, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w FROM doc_places),
+    hits AS (SELECT r, k, i, item_id FROM doc_windows JOIN windows USING (k, w)),
+    covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, k, i FROM hits)) GROUP BY r),
+    named AS (
+        SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items,
+           sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(ws) AS contaminated
+    FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+_TURN = "turn NULLS FIRST, role, text"
+
+
+def _escaped_chars(text: str, marks: str) -> str:
+    """Characters of a text in which each of the marks takes two."""
+    return f"(length({text}) + " + " + ".join(f"length({text}) - length(replace({text}, '{m}', ''))" for m in marks) + ")"
+
+
+CHAT = f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok')
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {_TURN})) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY {_TURN}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length('### ') + {_escaped_chars("role", chr(92) + "<#:")} + length(': ') + {_escaped_chars("text", chr(92) + "<#")}
+               + length('</turn>') + 1)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id"""
+
 SQL: dict[str, str] = {
+    "op2_decontamination": DECONTAMINATION,
+    "op3_chat": CHAT,
     "op12_merkle_manifest": merkle_sql(),
     "op13_collocations": COLLOCATIONS,
 }

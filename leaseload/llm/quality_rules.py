@@ -4,12 +4,17 @@ Signals of each whole text are counted once. For each share that can point to ju
 sketch is kept per (lang, source): counts of values by geometric bucket, so a value
 is known within ``GAMMA``. Such sketches merge by adding counts, they do not depend
 on partitions or order, and a hot source is reduced in its tasks before anything is
-shuffled. From the merged sketches come quartiles, and from those a fence
+shuffled. From the merged sketches come the median and a high quantile (``HIGH``) of each
+signal, and from those a fence
 
-    upper quartile + REACH * max(upper quartile - lower quartile, resolution)
+    high + REACH * max(high - median, EVENTS / median size)
 
-above which a document fails. A group with fewer than ``ENOUGH`` documents takes the
-fence of its language, and a small language that of all documents.
+above which a document fails. The size is what the signal is a share of (words, lines or
+characters; it has a sketch as well): where nearly all documents are alike, a share may
+still come from a few events in a text of the group's usual size, and no fixed share is
+taken to be small; for the mean word length, which is no share, it is what the sketch can
+tell apart. A group with fewer than ``ENOUGH`` documents takes the fence of its
+language, and a small language that of all documents.
 
 Null text counts as empty: no words, fails the base rule. Null ``lang`` or ``source``
 is a group of its own. Repeated rows are each judged, alike. Extra columns, also ones
@@ -32,16 +37,17 @@ MAX_REPEAT_PERCENT = 20
 
 GAMMA = 1.05
 ENOUGH = 200
-REACH = 6.0
-# Least step of each share that means anything; keeps a fence off its quartile where
-# nearly all documents of a group are alike.
-RESOLUTION = {
-    "symbol_share": 0.01,
-    "dup_line_share": 0.08,
-    "repeat_share": 0.04,
-    "upper_share": 0.06,
-    "same_word_share": 0.06,
-    "word_length": 1.5,
+REACH = 4.0
+HIGH = 0.9
+EVENTS = 3
+# The judged signals and the size that each is a share of.
+SIZE_OF = {
+    "symbol_share": "word_chars",
+    "dup_line_share": "n_lines",
+    "repeat_share": "n_words",
+    "upper_share": "n_words",
+    "same_word_share": "n_words",
+    "word_length": None,
 }
 SIGNALS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -106,7 +112,7 @@ def base_failed(at: str = "") -> Column:
 
 
 def shares(at: str = "") -> Column:
-    """The judged values, by name, as a map; a text without words has none."""
+    """The judged values and the sizes, by name, as a map; a text without words has none."""
     c = {name.split()[0]: F.col(f"{at}{name.split()[0]}") for name in SIGNALS.split(", ")}
     values = {
         "symbol_share": c["n_symbols"] / c["word_chars"],
@@ -115,6 +121,7 @@ def shares(at: str = "") -> Column:
         "upper_share": c["n_upper"] / c["n_words"],
         "same_word_share": c["n_same_words"] / c["n_words"],
         "word_length": c["word_chars"] / c["n_words"],
+        **{name: c[name].cast("double") for name in ("word_chars", "n_lines", "n_words")},
     }
     listed = F.create_map(*[x for name, value in values.items() for x in (F.lit(name), value)])
     return F.when(c["n_words"] > 0, listed)
@@ -127,53 +134,60 @@ def sketches(rows: DataFrame, value_map: Column) -> DataFrame:
     return long.groupBy("lang", "source", "signal", bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Merge sketches to groups ``by`` and read size, lower and upper quartile off them."""
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """Merge sketches to groups ``by`` and read size, median and high quantile off them."""
     keys = [*by, "signal"]
     merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
     ordered = Window.partitionBy(*keys).orderBy(F.col("bucket").asc_nulls_first())
     placed = merged.withColumns(
         {"upto": F.sum("n").over(ordered), "size": F.sum("n").over(Window.partitionBy(*keys))}
     )
-    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket") - 0.5))
+    # The upper end of a bucket, so that no quantile is read below its true value.
+    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
 
     def quantile(q: float) -> Column:
         return F.min(F.when(F.col("upto") >= q * F.col("size"), value))
 
     return placed.groupBy(*keys).agg(
-        F.max("size").alias("size"), quantile(0.25).alias("low"), quantile(0.75).alias("high")
+        F.max("size").alias("size"), quantile(0.5).alias("median"), quantile(HIGH).alias("high")
     )
 
 
+def by_signal(sketch: DataFrame, by: list[str], name: str) -> DataFrame:
+    """One row per group, its quantiles as a map from signal to (size, median, high)."""
+    entry = F.struct("signal", F.struct("size", "median", "high"))
+    return quantiles(sketch, by).groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
 def fences(sketch: DataFrame) -> DataFrame:
     """(lang, source, fences): a map from signal to the value above which a document fails."""
-    groups = quartiles(sketch, ["lang", "source"])
-    langs = quartiles(sketch, ["lang"]).withColumnsRenamed({"size": "size_l", "low": "low_l", "high": "high_l"})
-    overall = quartiles(sketch, []).withColumnsRenamed({"size": "size_a", "low": "low_a", "high": "high_a"})
-    near = groups.alias("g").join(
-        langs.alias("l"), F.col("g.signal").eqNullSafe(F.col("l.signal")) & F.col("g.lang").eqNullSafe(F.col("l.lang"))
-    ).select("g.*", "size_l", "low_l", "high_l").join(overall, "signal")
-
-    def taken(name: str) -> Column:
+    groups = by_signal(sketch, ["lang", "source"], "own")
+    langs = by_signal(sketch, ["lang"], "of_lang").withColumnRenamed("lang", "its_lang")
+    overall = by_signal(sketch, [], "of_all").withColumn("always", F.lit(1))
+    near = groups.join(langs, F.col("lang").eqNullSafe(F.col("its_lang"))).withColumn("always", F.lit(1)).join(overall, "always")
+
+    def taken(signal: str, quantile: str) -> Column:
+        own, lang, every = (F.col(name)[signal] for name in ("own", "of_lang", "of_all"))
         return (
-            F.when(F.col("size") >= ENOUGH, F.col(name))
-            .when(F.col("size_l") >= ENOUGH, F.col(f"{name}_l"))
-            .otherwise(F.col(f"{name}_a"))
+            F.when(own["size"] >= ENOUGH, own[quantile])
+            .when(lang["size"] >= ENOUGH, lang[quantile])
+            .otherwise(every[quantile])
         )
 
-    resolution = F.create_map(*[F.lit(x) for pair in RESOLUTION.items() for x in pair])
-    fence = taken("high") + REACH * F.greatest(taken("high") - taken("low"), resolution[F.col("signal")])
-    return (
-        near.withColumn("fence", fence)
-        .groupBy("lang", "source")
-        .agg(F.map_from_entries(F.collect_list(F.struct("signal", "fence"))).alias("fences"))
-    )
+    def fence(signal: str, size: str | None) -> Column:
+        high = taken(signal, "high")
+        # What a few events make, or what the sketch can tell apart.
+        least = high * (GAMMA - 1) if size is None else F.coalesce(EVENTS / F.nullif(taken(size, "median"), F.lit(0.0)), F.lit(0.0))
+        return high + REACH * F.greatest(high - taken(signal, "median"), least)
+
+    listed = [x for signal, size in SIZE_OF.items() for x in (F.lit(signal), fence(signal, size))]
+    return near.select("lang", "source", F.create_map(*listed).alias("fences"))
 
 
 def failed_rules(value_map: Column, fence_map: Column) -> Column:
     """Names of the signals beyond their fence, in fixed order."""
     return F.filter(
-        F.array(*[F.lit(name) for name in RESOLUTION]),
+        F.array(*[F.lit(name) for name in SIZE_OF]),
         lambda name: F.coalesce(value_map[name] > fence_map[name], F.lit(False)),
     )
 

@@ -196,6 +196,31 @@ def test_chunks_cover_every_byte_alike():
     assert set(pairs.ravel()) == set(range(len(rows))) and len(chunk_firsts) == len(texts)
 
 
+def test_forward_pass_is_a_plain_convolution():
+    """Every place, filter and chunk by loops over the definition."""
+    rng = np.random.default_rng(9)
+    net = quality_net.fit(["a"], np.array([1]))
+    net.constant = None
+    net.dense_bias += rng.normal(0, 0.1, net.dense_bias.shape).astype(np.float32)
+    half, width = quality_net.HALF, quality_net.WIDTH
+    for text in (b"", b"x", bytes(rng.integers(0, 256, half).tolist()), bytes(rng.integers(0, 256, 2 * half + 7).tolist()), b"ab" * 400):
+        places = []
+        for i in range(len(text)):
+            value = net.bias.astype(np.float64).copy()
+            for k in range(width):
+                j = i - (width - 1) + k
+                value += net.filters[k][text[j] if j >= 0 else 0]
+            places.append(np.maximum(value, 0))
+        halves = max(1, -(-len(text) // half))
+        evidence = np.zeros(len(net.dense_bias))
+        for first in range(max(1, halves - 1)):
+            seen = places[first * half : (first + 2) * half]
+            average = np.mean(seen, axis=0) if seen else np.zeros(len(net.bias))
+            evidence = np.maximum(evidence, average @ net.dense + net.dense_bias)
+        expected = 1 / (1 + np.exp(-(evidence @ net.out + net.out_bias[0])))
+        assert quality_net.probabilities(net, [text])[0] == pytest.approx(expected, abs=1e-5)
+
+
 @pytest.mark.parametrize("scored", [toxicity.scored, quality_net.scored])
 def test_odd_rows_and_few_labels(spark, documents, scored):
     docs = documents("good text", None, "", LONG, (None, "no id"), (0, "good text"), extra=CLASHING)

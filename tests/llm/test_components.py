@@ -40,3 +40,15 @@ def test_least_reachable(spark, edges):
 
 def test_no_links(spark):
     assert components.smallest_label(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rounds_grow_with_the_logarithm(spark):
+    """A shuffled path of 10,000 vertices, and a long descending run beside the least vertex."""
+    path = random.Random(4).sample(range(10_000), 10_000)
+    run = [(0, 1000), *[(n, n + 1) for n in range(1, 1000)]]
+    for edges in (list(zip(path, path[1:])), run):
+        rounds: list[int] = []
+        frame = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+        assert {r.label for r in components.smallest_label(frame, rounds=rounds).collect()} == {0}
+        assert len(rounds) <= 20
+        assert max(rounds) <= len(edges) + 1
