@@ -44,6 +44,7 @@ HEADLINE = (
     "customers_load",
     "lease_history_quad_dedup",
     "customer_balance",
+    "export_files_read",
 )
 
 

@@ -405,6 +405,12 @@ ADAPTERS: dict[str, str] = {
 for _name in ("leases", "links", "profiles"):
     ADAPTERS[f"s_{_name}"] = ADAPTERS[f"t_{_name}"].rsplit("WHERE", 1)[0]
 
+# Exports in which some filled date cells hold no date.
+ADAPTERS["x_credits_odd"] = ADAPTERS["x_credits"].replace("THEN '1/1/1900' ELSE", "THEN 'last week' ELSE").replace(
+    "THEN '1900-01-01' ELSE", "THEN '32/32/2020' ELSE"
+)
+ADAPTERS["x_receipts_odd"] = ADAPTERS["x_receipts"].replace("CASE WHEN l_linenumber = 6 THEN '' ELSE", "CASE WHEN l_linenumber = 6 THEN 'paid in cash' ELSE")
+
 # One day in the spellings people and machines use, by the order's key.
 _MONTH3 = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(o_orderdate) - 2, 3)"
 _MONTHS = "January February March April May June July August September October November December".split()

@@ -53,9 +53,11 @@ def ids_to_numbers(t: Tables) -> DataFrame:
 
 
 @check("money_to_cents", ("x_payments",), f"""
-    SELECT _o1 AS line, _o2 AS supplier, {money_cents('DCPMTAMT')} AS cents, CASE WHEN {money_cents('DCPMTAMT')} < 0 THEN 0 ELSE {money_cents('DCPMTAMT')} END AS floored,
-           {cents('DCPMTAMT')} AS signed, 0 - abs({cents('DCPMTAMT')}) AS negative, {vc(_rate('DCPMTAMT'))} AS dollars,
-           CASE WHEN _o2 % 2 = 0 THEN NULL ELSE printf('%d.25', 1000000000 + _o1) END AS large FROM x_payments""")
+    SELECT _o1 AS line, _o2 AS supplier, {vc(money_cents('DCPMTAMT'))} AS cents,
+           {vc(f"CASE WHEN {money_cents('DCPMTAMT')} < 0 THEN 0 ELSE {money_cents('DCPMTAMT')} END")} AS floored,
+           {vc(cents('DCPMTAMT'))} AS signed, {vc(f"0 - abs({cents('DCPMTAMT')})")} AS negative, {vc(_rate('DCPMTAMT'))} AS dollars,
+           CASE WHEN _o2 % 2 = 0 THEN NULL ELSE printf('%d.25', 1000000000 + _o1) END AS large FROM x_payments""",
+    as_text=("cents", "floored", "signed", "negative"))
 def money_to_cents(t: Tables) -> DataFrame:
     whole = F.when(F.col("_row_ord._o2") % 2 == 0, 10_000_000_000).otherwise(1_000_000_000) + F.col("_row_ord._o1")
     large = F.concat(whole.cast("string"), F.lit(".25"))
@@ -70,9 +72,10 @@ def money_to_cents(t: Tables) -> DataFrame:
 
 
 @check("money_with_marks", ("x_tenancy",), f"""
-    SELECT _o1 AS tenancy, {money_cents('DCRENT')} AS rent, {money_cents('DCSECDEPPAID')} AS deposit, {money_cents('DCINSURPREMIUM')} AS premium,
-           CASE WHEN {money_cents('DCSCHEDRENT')} = 0 THEN {money_cents('DCRENT')} ELSE {money_cents('DCSCHEDRENT')} END AS scheduled,
-           CASE WHEN {money_cents('DCINSURPREMIUM')} > 0 THEN 'BASIC' ELSE 'NONE' END AS insurance FROM x_tenancy""")
+    SELECT _o1 AS tenancy, {vc(money_cents('DCRENT'))} AS rent, {money_cents('DCSECDEPPAID')} AS deposit, {money_cents('DCINSURPREMIUM')} AS premium,
+           {vc(f"CASE WHEN {money_cents('DCSCHEDRENT')} = 0 THEN {money_cents('DCRENT')} ELSE {money_cents('DCSCHEDRENT')} END")} AS scheduled,
+           CASE WHEN {money_cents('DCINSURPREMIUM')} > 0 THEN 'BASIC' ELSE 'NONE' END AS insurance FROM x_tenancy""",
+    as_text=("rent", "scheduled"))
 def money_with_marks(t: Tables) -> DataFrame:
     rent, premium = numbers.cents("DCRENT"), numbers.cents("DCINSURPREMIUM")
     return t("x_tenancy").select(

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from leaseload.sources.exports import ROW_ORDER
+
 
 def _same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_safe: bool) -> Column:
     tests = [
@@ -67,13 +69,60 @@ def latest_rows(df: DataFrame, key: list[str], newest: Column, order: list[Colum
     return first_rows(df, key, [newest.desc_nulls_last(), *order])
 
 
+# A key is hot from this share of all rows on, so there are fewer hot keys than HOT_PARTS.
+HOT_PARTS = 1_000
+# Rows without a key match nothing; in a shuffled join they are dealt over this many lanes.
+NULL_LANES = 1_024
+
+
+def hot_keys(facts: DataFrame, key: list[str], parts: int = HOT_PARTS) -> DataFrame:
+    """(key, ``_lanes``) of the keys that hold more than one of ``parts`` equal shares of the rows.
+
+    At most ``parts`` - 1 rows by that rule, whatever the table. Keys are counted in their
+    tasks first, so a hot key costs one row per task.
+    """
+    counted = facts.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counted.agg(F.sum("_n").alias("total")).scalar()
+    share = F.col("_n") * parts / total
+    return counted.filter(share > 1).select(*key, F.ceil(share).cast("int").alias("_lanes"))
+
+
 def attach(
-    facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]], null_safe: bool = False
+    facts: DataFrame, dim: DataFrame, on: list[tuple[str, str]], null_safe: bool = False, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Left join to a lookup of one row per key; the lookup's key columns go away."""
+    """Left join to a lookup of one row per key; the lookup's key columns go away.
+
+    Rows with a null key match nothing. They are told apart by a lane, so that a shuffle
+    deals them over all its tasks. With ``hot`` (see :func:`hot_keys`) the rows of a hot key
+    are dealt over its lanes as well, and its one lookup row is repeated for each lane. Both
+    are in the plan and do not wait for a partition to turn out too large.
+    """
+    keys = [a for a, _ in on]
     right = dim.select(*[F.col(b).alias(f"_k_{b}") for _, b in on], *[c for c in dim.columns if c not in {b for _, b in on}])
-    test = _same(facts, right, [(a, f"_k_{b}") for a, b in on], null_safe)
-    return facts.join(right, test, "left").drop(*[f"_k_{b}" for _, b in on])
+    tests = [(a, f"_k_{b}") for a, b in on]
+    spread = ROW_ORDER in facts.columns and not null_safe
+    if not spread:
+        return facts.join(right, _same(facts, right, tests, null_safe), "left").drop(*[k for _, k in tests])
+    own = F.xxhash64(ROW_ORDER)
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    if hot is None:
+        # Zero for every row; a plain constant would be taken out of the join's keys.
+        lane, lanes = F.lit(0), F.pmod(F.xxhash64(*[k for _, k in tests]), F.lit(1)).cast("int")
+        left = facts
+    else:
+        marked = hot.select(*[F.col(k).alias(f"_h_{n}") for n, k in enumerate(keys)], "_lanes")
+        left = facts.join(marked, _same(facts, marked, [(k, f"_h_{n}") for n, k in enumerate(keys)], False), "left")
+        lane = F.when(F.col("_lanes") > 1, F.pmod(own, F.col("_lanes")).cast("int")).otherwise(0)
+        right = right.join(marked, _same(right, marked, [(k, f"_h_{n}") for n, (_, k) in enumerate(tests)], False), "left")
+        lanes = F.explode(F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1))
+    left = left.withColumn("_lane", F.when(missing, F.pmod(own, F.lit(NULL_LANES)).cast("int")).otherwise(lane))
+    right = right.withColumn("_k_lane", lanes)
+    helpers = ["_lane", "_k_lane", *[k for _, k in tests]]
+    if hot is not None:
+        helpers += ["_lanes", *[f"_h_{n}" for n in range(len(keys))]]
+        right = right.drop("_lanes", *[f"_h_{n}" for n in range(len(keys))])
+    joined = left.join(right, _same(left, right, [*tests, ("_lane", "_k_lane")], False), "left")
+    return joined.drop(*helpers)
 
 
 def known_flag(

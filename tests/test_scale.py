@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from contract.queries import CHECKS
-from leaseload.operators.keys import attach, first_rows, last_wins
+from leaseload.operators.keys import attach, first_rows, hot_keys, last_wins
 from leaseload.params import Params
 from leaseload.session import tune
 
@@ -73,6 +73,37 @@ def test_hot_key_of_a_large_lookup_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_hot_and_null_keys_are_spread_by_the_plan(spark):
+    """Without adaptive execution no task gets the rows of a hot key, or those without a key."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k"),
+            F.col("id").alias("_row_ord"),
+        )
+        dim = spark.range(30000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+        hot = hot_keys(rows, ["k"])
+        assert [(r.k, r._lanes) for r in hot.collect()] == [(0, 500)]
+        joined = attach(rows, dim, [("k", "key")], hot=hot)
+        assert joined.columns == ["k", "_row_ord", "value"]
+        tasks = joined.groupBy(F.spark_partition_id().alias("t")).count().collect()
+        assert len(tasks) == 16 and max(r["count"] for r in tasks) < 1.5 * 30000 / 16
+        found = {r._row_ord: r.value for r in joined.collect()}
+        assert len(found) == 30000
+        assert all(found[n] == (0 if n % 3 == 0 else None if n % 3 == 1 else 2 * n) for n in range(30000))
+        # Null keys alone need no list of hot ones.
+        bare = attach(rows.filter("k IS NULL OR k > 0"), dim, [("k", "key")])
+        assert max(r["count"] for r in bare.groupBy(F.spark_partition_id().alias("t")).count().collect()) < 1.5 * 20000 / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_small_lookups_are_broadcast_by_their_size(spark):
     dim = spark.range(100).select(F.col("id").alias("key"), F.lit("x").alias("value"))
     assert "BroadcastHashJoin" in physical(attach(hot(spark), dim, [("k", "key")]))
