@@ -163,8 +163,9 @@ def fences(sketch: DataFrame) -> DataFrame:
     """(lang, source, fences): a map from signal to the value above which a document fails."""
     groups = by_signal(sketch, ["lang", "source"], "own")
     langs = by_signal(sketch, ["lang"], "of_lang").withColumnRenamed("lang", "its_lang")
-    overall = by_signal(sketch, [], "of_all").withColumn("always", F.lit(1))
-    near = groups.join(langs, F.col("lang").eqNullSafe(F.col("its_lang"))).withColumn("always", F.lit(1)).join(overall, "always")
+    # One row: read as a value, not joined.
+    of_all = by_signal(sketch, [], "of_all").scalar()
+    near = groups.join(langs, F.col("lang").eqNullSafe(F.col("its_lang"))).withColumn("of_all", of_all)
 
     def taken(signal: str, quantile: str) -> Column:
         own, lang, every = (F.col(name)[signal] for name in ("own", "of_lang", "of_all"))
