@@ -10,7 +10,7 @@ from leaseload.functions.enums import credit_charge_type
 from leaseload.functions.numbers import id_text, negative_cents, number, signed_cents, whole_number
 from leaseload.functions.records import source_system
 from leaseload.functions.text import BLANK_CELL_WORDS, folded, is_empty, squeeze, trimmed_or_null
-from leaseload.operators.keys import attach, last_wins, only_known
+from leaseload.operators.keys import attach, attach_code, last_wins, only_known
 from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
 from leaseload.params import Params
 from leaseload.plans.common import classified, ledger_customers, nothing
@@ -73,7 +73,7 @@ def load_charges(
             "_created": free_timestamp(optional(charges, "DCREATED")),
         }
     )
-    rows = attach(rows, charge_type_lookup(charge_types), [("_desc", "desc_id")])
+    rows = attach_code(rows, charge_type_lookup(charge_types), [("_desc", "desc_id")])
     rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
 
     deleted = optional(rows, "DDELETED")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leaseload.functions.dates import free_timestamp, unread
 from leaseload.functions.numbers import number, not_negative, signed_cents, whole_number
 from leaseload.functions.records import receipt_number, source_system
-from leaseload.operators.keys import attach, last_wins
+from leaseload.operators.keys import attach, attach_code, last_wins
 from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
 from leaseload.params import Params
 from leaseload.plans.common import classified, long, nothing
@@ -25,7 +25,7 @@ RECEIPT_TABLE = (
 
 def payment_lookup(payments: DataFrame, methods: DataFrame) -> DataFrame:
     """External payment id -> id, date and method name of the stored payment."""
-    named = attach(
+    named = attach_code(
         payments, methods.select(F.col("id").alias("_method"), F.col("name").alias("payment_method")),
         [("payment_method_type_id", "_method")],
     )
