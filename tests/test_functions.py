@@ -278,3 +278,27 @@ def test_amounts_that_do_not_fit_are_null(values):
 def test_dates_by_their_tokens(values):
     found = values(dates.free_timestamp("x"), *[cell for cell, _ in SPELLED_DATES])
     assert dict(zip((c for c, _ in SPELLED_DATES), found)) == dict(SPELLED_DATES)
+
+
+@pytest.mark.parametrize("cell", [
+    "1/2/2020 3:15:00 PM", "1/2/2020 12:15 am", "1-2-2020 12:00:01.25PM", "2020-01-02 1:02:03 Am", "1/2/2020 13:15 PM", "1/2/2020 0:15 PM",
+    "13/2/2020 3:15 PM", "2/30/2020 3:15 PM", "2020-01-02 03:04:05.1234567", "2020-1-2T3:4:5Z", "2020-01-02 23:14:15.5+05:30",
+    "2020-01-02T3:4:5-0530", "2020-01-02 24:14:15Z", "2020/1/2", "2020/13/2", "20200102", "20201302", "2/3/69", "2/3/68", "31/3/99",
+    "2-Mar-1999", "31 feb 1999", "3-Abc-1999", "3-anf-1999", "03 JUN 2001", "32/32/2020", "13/5/2020", "0/5/2020", "5/0/2020", "2020-02-30",
+])
+def test_usual_dates_are_read_as_their_tokens_say(spark, cell):
+    from leaseload.functions import dates
+
+    row = spark.createDataFrame([(cell,)], "t string").select(
+        dates._usual_timestamp(F.col("t")).alias("usual"), dates._spelled_timestamp(F.col("t")).alias("tokens"), dates.free_timestamp("t").alias("free")
+    ).first()
+    assert row.usual in (None, row.tokens)
+    assert row.free == row.tokens
+
+
+def test_usual_dates_need_no_tokens(spark):
+    from leaseload.functions import dates
+
+    cells = ["1/2/2020 3:15:00 PM", "2020-01-02 03:04:05.1234567", "2020-01-02T23:14:15Z", "2020/01/02", "20200102", "1/2/20", "2-Jan-2020"]
+    rows = spark.createDataFrame([(c,) for c in cells], "t string").select(dates._usual_timestamp(F.col("t")).alias("at"))
+    assert {str(r["at"])[:10] for r in rows.collect()} == {"2020-01-02"}
