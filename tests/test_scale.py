@@ -158,3 +158,59 @@ def test_insert_of_new_rows_reads_its_source_once(spark):
     for held in (None, F.col("o_orderstatus") == "O"):
         plan = physical(new_rows(target, source, ["o_custkey"], order="o_orderkey", key_filter=held))
         assert plan.count("FileScan") == 1
+
+
+def test_facts_with_few_codes_are_dealt_over_lanes(spark):
+    """Seven codes, one of which holds most rows: no partition of the lookup holds them all."""
+    from leaseload.operators.keys import attach_code
+
+    facts = spark.range(20_000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("code"), F.col("id").alias("_row_ord"))
+    facts = facts.withColumn("code", F.when(F.col("code") > 2, F.lit(3)).otherwise(F.col("code")))
+    codes = spark.range(1, 7).select(F.col("id").alias("of"), (F.col("id") * 10).alias("kind"))
+    set_before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = attach_code(facts, codes, [("code", "of")])
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 1 and max(sizes) < 3 * 20_000 / len(sizes)
+        assert found.filter("kind <=> code * 10").count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", set_before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_small_vocabulary_goes_to_the_facts(spark):
+    """Also one that is derived from a table as large as the facts."""
+    from leaseload.operators.keys import attach_code
+
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    codes = lines.groupBy("l_linenumber").agg(F.max("l_linenumber").alias("kind"))
+    assert "SortMergeJoin" not in physical(attach_code(lines, codes, [("l_linenumber", "l_linenumber")]))
+
+
+def test_rejects_judge_their_rows_once(spark):
+    """The plan that tells the rejects reads what was stored of the judged rows, not the exports."""
+    plan = physical(CHECKS["charges_rejects"].run(spark, SMALL))
+    assert plan.count("lineitem") <= 1
+
+
+def test_a_table_whose_splits_feed_all_cores_is_not_shuffled(spark, tmp_path):
+    from contract.adapters import base_table
+
+    rows = spark.read.parquet(f"{SMALL}/orders.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    rows.repartition(2 * cores).write.parquet(str(tmp_path / "orders.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    split = {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in split}
+    try:
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        assert "Exchange" not in physical(base_table(spark, str(tmp_path), "orders"))
+        # Many splits, but one row group: one core would read it.
+        assert cores == 1 or "Exchange" in physical(base_table(spark, str(tmp_path), "lineitem"))
+        assert base_table(spark, str(tmp_path), "orders").count() == rows.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
