@@ -53,7 +53,7 @@ BASE = 0x9E3779B97F4A7C15
 UNBASE = pow(BASE, -1, 1 << 64)
 LETTER_BASE = 0xC2B2AE3D27D4EB4F
 # Bytes of text that are worked on at a time.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 BITMAP_BITS = 1 << 26
 BITS_PER_PHRASE = 16
 # A word that a hot part of a join stands for is spread over so many lanes.
