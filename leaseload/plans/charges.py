@@ -11,7 +11,7 @@ from leaseload.functions.numbers import id_text, negative_cents, number, signed_
 from leaseload.functions.records import source_system
 from leaseload.functions.text import BLANK_CELL_WORDS, folded, is_empty, squeeze, trimmed_or_null
 from leaseload.operators.keys import attach, attach_code, last_wins, only_known
-from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
+from leaseload.operators.outcome import Known, Outcome, Rule, field_errors, judged
 from leaseload.params import Params
 from leaseload.plans.common import classified, ledger_customers, nothing
 from leaseload.sources.contracts import CHARGE_COLUMNS, CREDIT_COLUMNS, optional, require
@@ -74,7 +74,6 @@ def load_charges(
         }
     )
     rows = attach_code(rows, charge_type_lookup(charge_types), [("_desc", "desc_id")])
-    rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
 
     deleted = optional(rows, "DDELETED")
     created = F.col("_created")
@@ -86,6 +85,8 @@ def load_charges(
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
         Rule("amount_out_of_range", signed_cents("DCAMT").isNull(), "DCAMT", F.col("DCAMT"), "error"),
     ]
+    rows, told = judged(rows, before, ("no_customer",), "before")
+    rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
     started, updated = optional(rows, "DCHGSTRT"), optional(rows, "DUPDATED")
     # A stored run time that stands for a cell nobody could read is told.
     unread_dates = field_errors(
@@ -107,7 +108,7 @@ def load_charges(
         external_charge_id=id_text("CHARGEID"),
     )
     return Outcome(
-        rows=classified(rows, F.col("CHARGEID"), derived, before, extra={"_errors": unread_dates}),
+        rows=classified(rows, F.col("CHARGEID"), derived, before, extra={"_errors": unread_dates}, told=(told, []), early=told[0]),
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),
@@ -132,7 +133,6 @@ def load_credits(
             "_created": after_epoch(optional(credits, "DCREATED")),
         }
     )
-    rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
 
     posting = F.coalesce(folded(optional(rows, "BNONPOSTING")), F.lit("")) != "true"
     deleted = optional(rows, "DDELETED")
@@ -150,6 +150,9 @@ def load_credits(
         Rule("bad_ledger", F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "error"),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
     ]
+    rows, told_before = judged(rows, before, (), "before")
+    rows, told_after = judged(rows, after, ("no_customer",), "after")
+    rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
     made = optional(rows, "DCREATED")
     unread_dates = field_errors(
         {
@@ -169,7 +172,7 @@ def load_credits(
         external_charge_id=F.coalesce(id_text("CREDITID"), F.lit("")),
     )
     return Outcome(
-        rows=classified(rows, F.col("CREDITID"), derived, before, after, {"_errors": unread_dates}),
+        rows=classified(rows, F.col("CREDITID"), derived, before, after, {"_errors": unread_dates}, (told_before, told_after), told_before[0]),
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),

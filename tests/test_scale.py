@@ -214,3 +214,109 @@ def test_a_table_whose_splits_feed_all_cores_is_not_shuffled(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name, key", [
+    ("charges_rejects", "external_charge_id"), ("charges_audit", "external_charge_id"), ("payments_rejects", "external_id"),
+    ("payments_audit", "external_id"), ("receipts_rejects", "receipt_number"), ("credits_audit", "external_charge_id"),
+])
+def test_rejects_are_shuffled_by_their_key_once(spark, name, key):
+    plan = physical(CHECKS[name].run(spark, SMALL))
+    stored = name.startswith("payments")  # the stored ids are made distinct on their own
+    assert len(re.findall(rf"Exchange hashpartitioning\((?:_k_)?{key}#", plan)) == 1 + stored
+
+
+def fact_side(plan: str, key: str) -> str:
+    """The columns of the facts that a lookup by ``key`` shuffles."""
+    return re.search(rf"Exchange hashpartitioning\({key}#.*?Project \[(.*?) AS _lane#", plan, re.DOTALL).group(1)
+
+
+@pytest.mark.parametrize("plan, key, cells", [
+    ("charges", "_ledger", ("DDELETED", "DCAMT", "CHARGEDESCID")), ("payments", "_ledger", ("DDELETED", "DCPMTAMT", "PMTTYPEID", "DPMT", "DCREATED")),
+    ("receipts", "_payment_key", ("DCAMT", "DRCPT")),
+])
+def test_rows_are_judged_before_a_lookup_shuffles_them(spark, export, plan, key, cells):
+    """A lookup carries codes; the cells they were read from stay behind."""
+    from leaseload.plans import charges, payments, receipts
+    from leaseload.sources.contracts import CHARGE_COLUMNS, PAYMENT_COLUMNS, RECEIPT_COLUMNS
+
+    tenants = export(["LEDGERID", "TENANTID", "SUNITNAME"], [("1", "1", "U1")])
+    customers = spark.createDataFrame([(11, "1")], "id bigint, external_id string")
+    units = spark.createDataFrame([(5, "U1")], "id bigint, unit_number string")
+    kept = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in kept}
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+    try:
+        if plan == "charges":
+            rows = export([*CHARGE_COLUMNS, "DDELETED"], [(None,) * (len(CHARGE_COLUMNS) + 1)])
+            stored = spark.createDataFrame([], "external_charge_id string")
+            outcome = charges.load_charges(rows, export(["CHARGEDESCID", "ID"], [("1", "2")]), tenants, customers, units, stored, Params())
+        elif plan == "payments":
+            stored = spark.createDataFrame([], "external_id string")
+            outcome = payments.load_payments(export(PAYMENT_COLUMNS, [(None,) * len(PAYMENT_COLUMNS)]), tenants, customers, stored, Params())
+        else:
+            paid = spark.createDataFrame([], "id bigint, external_payment_id string, payment_method_type_id bigint, payment_date date")
+            methods = spark.createDataFrame([(1, "Cash")], "id bigint, name string")
+            stored = spark.createDataFrame([], "receipt_number string")
+            outcome = receipts.load_receipts(export(RECEIPT_COLUMNS, [(None,) * len(RECEIPT_COLUMNS)]), paid, methods, customers, stored, Params())
+        carried = fact_side(physical(outcome.rows.select("_row_id", "_before", "_after")), key).split(", ")
+        assert not [c for c in carried if re.match(rf"({'|'.join(cells)})#\d+$", c)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_payment_lookup_shuffles_no_more_than_is_asked_for(spark):
+    from leaseload.plans.receipts import payment_lookup
+
+    paid = spark.createDataFrame([(1, "7", 3, None)], "id bigint, external_payment_id string, payment_method_type_id bigint, payment_date date")
+    lookup = payment_lookup(paid, spark.createDataFrame([(3, "Cash")], "id bigint, name string"))
+    assert [tuple(r) for r in lookup.collect()] == [("7", 1, None, "Cash")]
+    assert "max_by" not in physical(lookup.select("external_payment_id", "payment_id"))
+
+
+def plain_rejects(rows, known):
+    """Outcome by outcome in plain Python: (row id, reason, value)."""
+    first = {}
+    for key, before, after, _, order in rows:
+        if key is not None and before is None and after is None:
+            first[key] = min(order, first.get(key, order))
+    for key, before, after, row_id, order in rows:
+        if before is not None:
+            yield row_id, before, "b"
+        elif key is not None and (reasons := [reason for reason, keys in known.items() if key in keys]):
+            yield row_id, reasons[0], None
+        elif after is not None:
+            yield row_id, after, "a"
+        elif key is not None and order != first[key]:
+            yield row_id, "repeat_in_file", None
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_rejects_of_hot_keys(spark, monkeypatch, few):
+    """A third of the rows under one key, another known, some rows without a key or stopped before."""
+    from leaseload.operators import keys
+    from leaseload.operators.outcome import Known, Outcome
+
+    monkeypatch.setattr(keys, "HOT_ROWS", few)
+    rows = [
+        (
+            None if n % 11 == 0 else "hot" if n % 3 == 0 else "known" if n % 5 == 0 else f"k{n // 2}",
+            "deleted" if n % 7 == 0 else None, "no_date" if n % 13 == 0 else None, f"r{n}", 5000 - n,
+        )
+        for n in range(5000)
+    ]
+    frame = spark.createDataFrame(rows, "k string, b string, a string, _row_id string, _row_ord bigint").repartition(5).selectExpr(
+        "k", "'skip|' || b || '|B' AS _before", "'skip|' || a || '|A' AS _after", "IF(b IS NULL, NULL, 'b') AS _before_value",
+        "IF(a IS NULL, NULL, 'a') AS _after_value", "_row_id", "_row_ord",
+    )
+    table = spark.createDataFrame([("known",), ("k1",), ("k1",), (None,)], "id string")
+    credited = spark.createDataFrame([("k2",), ("known",)], "id string")
+    outcome = Outcome(frame, ("k",), ("k",), (Known(credited, (("k", "id"),), "credit"), Known(table, (("k", "id"),))))
+    assert len(keys.hot_hashes(frame, ["k"])) == (0 if few else 2)
+    expected = sorted(plain_rejects(rows, {"credit": {"k2", "known"}, "duplicate": {"known", "k1"}}), key=str)
+    got = [(r.row_id, r.reason, r.value) for r in outcome.rejects.collect()]
+    assert sorted(got, key=str) == expected
+    settled = outcome.settled()
+    assert sorted(((r.row_id, r.reason, r.value) for r in settled.rejects.collect()), key=str) == expected
