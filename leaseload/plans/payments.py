@@ -17,7 +17,7 @@ from leaseload.functions.records import (
 )
 from leaseload.functions.text import clean_text, is_empty
 from leaseload.operators.keys import attach
-from leaseload.operators.outcome import Known, Outcome, Rule
+from leaseload.operators.outcome import Known, Outcome, Rule, judged
 from leaseload.params import Params
 from leaseload.plans.common import classified, ledger_customers, long, nothing
 from leaseload.sources.contracts import PAYMENT_COLUMNS, optional, require
@@ -56,7 +56,6 @@ def load_payments(
             "_method": payment_method_id("PMTTYPEID")[0],
         }
     )
-    rows = attach(rows, ledger_customers(tenants, customers), [("_ledger", "ledger_id")])
     taken = Known(stored, (("external_id", "external_id"),))
     credited = () if credits is None else (
         Known(credited_payments(credits), (("external_id", "credited_id"),), "credit"),
@@ -76,6 +75,9 @@ def load_payments(
         Rule("no_date", F.coalesce(paid_at, created_at).isNull(), "DPMT", F.col("DPMT"), "error"),
         Rule("bad_method", F.col("_method").isNull(), "PMTTYPEID", F.col("PMTTYPEID"), "error"),
     ]
+    rows, told_before = judged(rows, before, ("no_customer",), "before")
+    rows, told_after = judged(rows, after, (), "after")
+    rows = attach(rows, ledger_customers(tenants, customers), [("_ledger", "ledger_id")])
     stamped = F.coalesce(created_at, paid_at)
     derived = {
         "external_id": F.col("_payment"),
@@ -107,7 +109,7 @@ def load_payments(
         "external_system": source_system(),
     }
     return Outcome(
-        rows=classified(rows, F.col("PAYMENTID"), derived, before, after),
+        rows=classified(rows, F.col("PAYMENTID"), derived, before, after, told=(told_before, told_after)),
         columns=PAYMENT_TABLE,
         key=("external_id",),
         known=(*credited, taken),
