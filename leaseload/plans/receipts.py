@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from leaseload.functions.dates import free_timestamp, unread
 from leaseload.functions.numbers import number, not_negative, signed_cents, whole_number
 from leaseload.functions.records import receipt_number, source_system
-from leaseload.operators.keys import attach, attach_code, last_wins
-from leaseload.operators.outcome import Known, Outcome, Rule, field_errors
+from leaseload.operators.keys import attach, attach_code
+from leaseload.operators.outcome import Known, Outcome, Rule, field_errors, judged
 from leaseload.params import Params
 from leaseload.plans.common import classified, long, nothing
 from leaseload.sources.contracts import RECEIPT_COLUMNS, optional, require
@@ -24,14 +24,16 @@ RECEIPT_TABLE = (
 
 
 def payment_lookup(payments: DataFrame, methods: DataFrame) -> DataFrame:
-    """External payment id -> id, date and method name of the stored payment."""
+    """External payment id -> id, date and method name of the stored payment.
+
+    One aggregate per column, so that a plan that only asks for the id shuffles no more."""
     named = attach_code(
         payments, methods.select(F.col("id").alias("_method"), F.col("name").alias("payment_method")),
         [("payment_method_type_id", "_method")],
     )
-    return last_wins(
-        named.select("external_payment_id", F.col("id").alias("payment_id"), "payment_date", "payment_method"),
-        ["external_payment_id"], ["payment_id", "payment_date", "payment_method"], F.col("payment_id"),
+    return named.dropna(subset=["external_payment_id"]).groupBy("external_payment_id").agg(
+        F.max("id").alias("payment_id"),
+        *[F.max_by(c, "id").alias(c) for c in ("payment_date", "payment_method")],
     )
 
 
@@ -55,8 +57,6 @@ def load_receipts(
         }
     )
     rows = rows.withColumn("_payment_key", F.col("_payment").cast("string"))
-    rows = attach(rows, payment_lookup(payments, methods), [("_payment_key", "external_payment_id")])
-    rows = attach(rows, customers_by_number(customers), [("_tenant", "tenant_id")])
 
     key = receipt_number("IRECEIPTNUM", F.col("_payment"))
     stamped = F.col("_received")
@@ -70,6 +70,9 @@ def load_receipts(
         Rule("no_payment", F.col("payment_id").isNull(), "PAYMENTID", F.col("PAYMENTID")),
         Rule("no_customer", F.col("customer_id").isNull(), "TENANTID", F.col("TENANTID")),
     ]
+    rows, told_before = judged(rows, before, (), "before")
+    rows = attach(rows, payment_lookup(payments, methods), [("_payment_key", "external_payment_id")])
+    rows = attach(rows, customers_by_number(customers), [("_tenant", "tenant_id")])
     unread_dates = field_errors(
         {"receipt_date": (stamped, unread("DRCPT", free_timestamp("DRCPT")), F.col("DRCPT"))}
     )
@@ -99,7 +102,7 @@ def load_receipts(
         "external_system": source_system(),
     }
     return Outcome(
-        rows=classified(rows, F.col("RECEIPTID"), derived, before, after, {"_errors": unread_dates}),
+        rows=classified(rows, F.col("RECEIPTID"), derived, before, after, {"_errors": unread_dates}, (told_before, after)),
         columns=RECEIPT_TABLE,
         key=("receipt_number",),
         known=(Known(stored, (("receipt_number", "receipt_number"),)),),
