@@ -13,7 +13,7 @@ from leaseload.functions.text import BLANK_CELL_WORDS, folded, is_empty, squeeze
 from leaseload.operators.keys import attach, attach_code, last_wins, only_known
 from leaseload.operators.outcome import Known, Outcome, Rule, field_errors, judged
 from leaseload.params import Params
-from leaseload.plans.common import classified, ledger_customers, nothing
+from leaseload.plans.common import classified, ledger_customers, nothing, told_rows
 from leaseload.sources.contracts import CHARGE_COLUMNS, CREDIT_COLUMNS, optional, require
 from leaseload.sources.exports import ROW_ORDER, drop_blank_key
 
@@ -85,6 +85,7 @@ def load_charges(
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
         Rule("amount_out_of_range", signed_cents("DCAMT").isNull(), "DCAMT", F.col("DCAMT"), "error"),
     ]
+    alone = rows
     rows, told = judged(rows, before, ("no_customer",), "before")
     rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
     started, updated = optional(rows, "DCHGSTRT"), optional(rows, "DUPDATED")
@@ -112,6 +113,7 @@ def load_charges(
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),
+        lean=lambda: told_rows(alone, "CHARGEID", ("external_charge_id", id_text("CHARGEID")), tenants, customers, before, []),
     )
 
 
@@ -150,6 +152,7 @@ def load_credits(
         Rule("bad_ledger", F.col("_ledger").isNull(), "LEDGERID", F.col("LEDGERID"), "error"),
         Rule("no_customer", F.col("customer_id").isNull(), "LEDGERID", F.col("LEDGERID")),
     ]
+    alone = rows
     rows, told_before = judged(rows, before, (), "before")
     rows, told_after = judged(rows, after, ("no_customer",), "after")
     rows = attach(rows, ledger_customers(tenants, customers, units), [("_ledger", "ledger_id")])
@@ -176,6 +179,9 @@ def load_credits(
         columns=CHARGE_TABLE,
         key=("external_charge_id",),
         known=(Known(stored, _STORED_KEY),),
+        lean=lambda: told_rows(
+            alone, "CREDITID", ("external_charge_id", F.coalesce(id_text("CREDITID"), F.lit(""))), tenants, customers, before, after
+        ),
     )
 
 
