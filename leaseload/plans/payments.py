@@ -19,7 +19,7 @@ from leaseload.functions.text import clean_text, is_empty
 from leaseload.operators.keys import attach
 from leaseload.operators.outcome import Known, Outcome, Rule, judged
 from leaseload.params import Params
-from leaseload.plans.common import classified, ledger_customers, long, nothing
+from leaseload.plans.common import classified, ledger_customers, long, nothing, told_rows
 from leaseload.sources.contracts import PAYMENT_COLUMNS, optional, require
 
 PAYMENT_TABLE = (
@@ -75,6 +75,7 @@ def load_payments(
         Rule("no_date", F.coalesce(paid_at, created_at).isNull(), "DPMT", F.col("DPMT"), "error"),
         Rule("bad_method", F.col("_method").isNull(), "PMTTYPEID", F.col("PMTTYPEID"), "error"),
     ]
+    alone = rows
     rows, told_before = judged(rows, before, ("no_customer",), "before")
     rows, told_after = judged(rows, after, (), "after")
     rows = attach(rows, ledger_customers(tenants, customers), [("_ledger", "ledger_id")])
@@ -113,4 +114,5 @@ def load_payments(
         columns=PAYMENT_TABLE,
         key=("external_id",),
         known=(*credited, taken),
+        lean=lambda: told_rows(alone, "PAYMENTID", ("external_id", F.col("_payment")), tenants, customers, before, after),
     )
